@@ -1,0 +1 @@
+"""Intentionally empty: every layer is a full refresh, nothing is streamed."""
