@@ -4,8 +4,11 @@ from __future__ import annotations
 
 from pyspark.sql import Column, functions as F
 
-# A word is a run of letters and digits; everything else separates words.
-_RUNS = r"([\p{L}\p{N}]+|[^\p{L}\p{N}]+)"
+# Blanks already separate words for ``initcap``; every other character that is
+# neither letter nor digit is followed by this marker while it runs.  The marker
+# starts with such a character itself, so removing it restores any text exactly.
+_SEPARATOR = r"([^\p{L}\p{N} ])"
+_MARKER = "\uE000 "
 
 
 def blank_to_null(text: Column) -> Column:
@@ -24,11 +27,9 @@ def title_case(text: Column, style: str = "alphanumeric") -> Column:
         return F.initcap(text)
     if style != "alphanumeric":
         raise ValueError(f"unknown title-case style: {style}")
-    runs = F.regexp_extract_all(F.lower(text), F.lit(_RUNS), F.lit(1))
-    capitalised = F.transform(
-        runs, lambda run: F.concat(F.upper(F.substring(run, 1, 1)), F.substr(run, F.lit(2)))
-    )
-    return F.array_join(capitalised, "")
+    marked = F.regexp_replace(text, _SEPARATOR, "$1" + _MARKER)
+    split = F.replace(F.initcap(marked), F.lit(_MARKER), F.lit(""))
+    return F.when(text.rlike(_SEPARATOR), split).otherwise(F.initcap(text))
 
 
 def readable_status(text: Column) -> Column:

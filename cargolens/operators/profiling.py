@@ -49,16 +49,25 @@ def column_mismatch(df: DataFrame, left: Column, right: Column, name: str) -> Da
 
 
 def null_profile(df: DataFrame, columns: Sequence[str]) -> DataFrame:
-    def measures(name: str) -> Mapping[str, Column]:
-        missing = F.count_if(F.col(name).isNull())
-        return {
-            "total_rows": F.count("*"),
-            "non_null_rows": F.count(name),
-            "null_rows": missing,
-            "null_percentage": ratio_pct(missing, F.count("*")),
-        }
-
-    return _by_column(df, columns, measures)
+    """NULL counts of many columns in one pass, one output row per column."""
+    counts = df.agg(
+        F.count("*").alias("total_rows"),
+        *[F.count(name).alias(f"present_{i}") for i, name in enumerate(columns)],
+    )
+    total = F.col("total_rows")
+    rows = []
+    for i, name in enumerate(columns):
+        present = F.col(f"present_{i}")
+        rows.append(
+            F.struct(
+                F.lit(name).alias("column_name"),
+                total.alias("total_rows"),
+                present.alias("non_null_rows"),
+                (total - present).alias("null_rows"),
+                ratio_pct(total - present, total).alias("null_percentage"),
+            )
+        )
+    return counts.select(F.inline(F.array(*rows)))
 
 
 def constant_columns(df: DataFrame, columns: Sequence[str]) -> DataFrame:

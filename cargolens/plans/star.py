@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import DataFrame, functions as F, types as T
 
 from cargolens import schemas as S
 from cargolens.functions.dates import calendar_columns, date_key
@@ -23,6 +23,10 @@ class Dimension:
     natural_key: list[str]
     unique: bool = False  # natural key is a business identifier: one version only
 
+    @property
+    def schema(self) -> T.StructType:
+        return S.struct(self.key, *self.attributes)
+
 
 CUSTOMER = Dimension("dim_customer", "customer_key", S.CUSTOMER_ATTRIBUTES, ["customer_id"], True)
 PRODUCT = Dimension("dim_product", "product_key", S.PRODUCT_ATTRIBUTES, ["product_card_id"], True)

@@ -34,18 +34,18 @@ class Warehouse:
     @property
     def star(self) -> model.Star:
         return model.Star(
-            self.gold_layer.read(FACT),
-            *[self.gold_layer.read(spec.table) for spec in model.DIMENSIONS],
-            self.gold_layer.read(DATE),
+            self.gold_layer.read(FACT, S.FACT),
+            *[self.gold_layer.read(spec.table, spec.schema) for spec in model.DIMENSIONS],
+            self.gold_layer.read(DATE, S.CALENDAR),
         )
 
     def load_bronze(self, raw: DataFrame) -> DataFrame:
         """Import raw text rows; a second import into the table fails."""
-        return self.bronze_layer.load_once(raw.select(*S.BRONZE_COLUMNS), RAW)
+        return self.bronze_layer.load_once(raw, RAW, S.BRONZE)
 
     def build_silver(self) -> DataFrame:
         """Clean every raw row and check the declared constraints."""
-        silver = self.silver_layer.refresh(clean(self.bronze), CLEAN, SILVER.names)
+        silver = self.silver_layer.refresh(clean(self.bronze), CLEAN, SILVER)
         checks.enforce(quality.silver_violations(silver), CLEAN)
         return silver
 
@@ -54,22 +54,26 @@ class Warehouse:
         silver, written = self.silver, {}
         for spec in model.DIMENSIONS:
             rows = model.build_dimension(silver, spec, self.workspace)
-            written[spec.table] = self.gold_layer.refresh(rows, spec.table, [spec.key, *spec.attributes])
+            written[spec.table] = self.gold_layer.refresh(rows, spec.table, spec.schema)
             checks.enforce(quality.dimension_violations(written[spec.table], spec), spec.table)
-        date = self.gold_layer.refresh(model.build_calendar(silver), DATE)
+        date = self.gold_layer.refresh(model.build_calendar(silver), DATE, S.CALENDAR)
         checks.enforce(quality.calendar_violations(date), DATE)
 
         fact = model.build_fact(silver, *[written[spec.table] for spec in model.DIMENSIONS])
         # Sorted files keep the date statistics of their row groups narrow.
         fact = fact.sortWithinPartitions("order_date_key")
-        loaded = self.gold_layer.refresh(fact, FACT, S.FACT_COLUMNS)
+        loaded = self.gold_layer.refresh(fact, FACT, S.FACT)
         checks.enforce(quality.fact_violations(loaded), FACT)
         checks.release(quality.release_checks(silver, self.star))
         return self.star
 
     def register_views(self) -> list[str]:
         """Temporary views such as ``gold_dim_date`` for SQL users."""
-        tables = [(self.bronze_layer, RAW), (self.silver_layer, CLEAN), (self.gold_layer, FACT),
-                  (self.gold_layer, DATE)]
-        tables += [(self.gold_layer, spec.table) for spec in model.DIMENSIONS]
-        return [layer.register_view(table) for layer, table in tables]
+        tables = [
+            (self.bronze_layer, RAW, S.BRONZE),
+            (self.silver_layer, CLEAN, SILVER),
+            (self.gold_layer, FACT, S.FACT),
+            (self.gold_layer, DATE, S.CALENDAR),
+            *[(self.gold_layer, spec.table, spec.schema) for spec in model.DIMENSIONS],
+        ]
+        return [layer.register_view(table, schema) for layer, table, schema in tables]

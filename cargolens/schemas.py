@@ -77,3 +77,38 @@ FACT_COLUMNS = [
 FACT_NOT_NULL = FACT_COLUMNS[:8]
 
 BRONZE = T.StructType([T.StructField(name, TEXT) for name in BRONZE_COLUMNS])
+
+_TYPES = {
+    **{name: ID for name in ("order_item_id", "order_id", "customer_id", "order_customer_id",
+                             "product_card_id", "order_item_cardprod_id")},
+    **{name: INT for name in ("days_for_shipping_real", "days_for_shipment_scheduled", "category_id",
+                              "department_id", "order_item_quantity", "product_category_id",
+                              "order_date_key", "shipping_date_key")},
+    **{name: MONEY for name in ("benefit_per_order", "sales_per_customer", "order_item_discount",
+                                "order_item_product_price", "sales", "order_item_total",
+                                "order_profit_per_order", "product_price")},
+    **{name: RATE for name in ("order_item_discount_rate", "order_item_profit_ratio")},
+    **{name: COORDINATE for name in ("latitude", "longitude")},
+    **{name: ID for name in ("customer_key", "product_key", "destination_key", "order_profile_key")},
+    "late_delivery_risk": SHORT,
+}
+
+
+def struct(*names: str) -> T.StructType:
+    """Fields of a cleaned or modelled table; columns not typed above are text."""
+    return T.StructType([T.StructField(name, _TYPES.get(name, TEXT)) for name in names])
+
+
+FACT = struct(*FACT_COLUMNS)
+CALENDAR = T.StructType([
+    T.StructField("date_key", INT),
+    T.StructField("full_date", T.DateType()),
+    T.StructField("year", INT),
+    T.StructField("quarter", INT),
+    T.StructField("month", INT),
+    T.StructField("month_name", TEXT),
+    T.StructField("week_of_year", INT),
+    T.StructField("day", INT),
+    T.StructField("day_name", TEXT),
+    T.StructField("is_weekend", T.BooleanType()),
+])

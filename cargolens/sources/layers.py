@@ -2,8 +2,26 @@
 
 from __future__ import annotations
 
+from contextlib import contextmanager
+
 from pyspark.sql import DataFrame, SparkSession, types as T
 
+# Some fifty cleaned columns compile into one method longer than the JVM
+# optimises; above this size Spark falls back to several smaller methods.
+_WIDE_ROWS = ("spark.sql.codegen.hugeMethodLimit", "8000")
+
+
+@contextmanager
+def wide_rows(spark: SparkSession):
+    """Session setting for writing wide tables, restored afterwards."""
+    name, value = _WIDE_ROWS
+    before = spark.conf.get(name, None)
+    spark.conf.set(name, value)
+    try:
+        yield
+    finally:
+        spark.conf.unset(name) if before is None else spark.conf.set(name, before)
+
 
 class Layer:
     """One namespace of tables below a root folder."""
@@ -15,22 +33,27 @@ class Layer:
     def path(self, table: str) -> str:
         return f"{self.folder}/{table}"
 
-    def read(self, table: str, schema: T.StructType | None = None) -> DataFrame:
-        reader = self.spark.read if schema is None else self.spark.read.schema(schema)
-        return reader.parquet(self.path(table))
+    def read(self, table: str, schema: T.StructType) -> DataFrame:
+        return self.spark.read.schema(schema).parquet(self.path(table))
 
-    def load_once(self, df: DataFrame, table: str) -> DataFrame:
+    def load_once(self, df: DataFrame, table: str, schema: T.StructType) -> DataFrame:
         """Fail if the table is already filled: an import must not be repeated."""
-        df.write.mode("errorifexists").parquet(self.path(table))
-        return self.read(table, df.schema)
+        with wide_rows(self.spark):
+            df.select(*schema.names).write.mode("errorifexists").parquet(self.path(table))
+        return self.read(table, schema)
 
-    def refresh(self, df: DataFrame, table: str, columns: list[str] | None = None) -> DataFrame:
+    def refresh(self, df: DataFrame, table: str, schema: T.StructType) -> DataFrame:
         """Replace the table, writing exactly the target columns in order."""
-        target = df.select(*columns) if columns else df
-        target.write.mode("overwrite").parquet(self.path(table))
-        return self.read(table, target.schema)
-
-    def register_view(self, table: str) -> str:
+        found = {field.name: field.dataType for field in df.schema.fields}
+        for field in schema.fields:
+            if found[field.name] != field.dataType:
+                raise TypeError(f"{table}.{field.name}: {found[field.name]} is not {field.dataType}")
+        with wide_rows(self.spark):
+            df.select(*schema.names).write.mode("overwrite").parquet(self.path(table))
+        return self.read(table, schema)
+
+    def register_view(self, table: str, schema: T.StructType) -> str:
+        """A temporary view named after layer and table, e.g. ``gold_dim_date``."""
         view = f"{self.name}_{table}"
-        self.read(table).createOrReplaceTempView(view)
+        self.read(table, schema).createOrReplaceTempView(view)
         return view

@@ -1,6 +1,7 @@
 """Run the named queries beside their SQL and report differences.
 
 Usage: python tests/verify_queries.py [folder] [name prefix ...]
+VERIFY_CONF="name=value,..." adds Spark settings.
 """
 
 from __future__ import annotations
@@ -48,7 +49,8 @@ if __name__ == "__main__":
 
     folder = sys.argv[1] if len(sys.argv) > 1 else "/root/testdata/sf0.01"
     prefixes = tuple(sys.argv[2:])
-    spark = local_session()
+    extra = dict(pair.split("=") for pair in os.environ.get("VERIFY_CONF", "").split(",") if pair)
+    spark = local_session(**extra)
     con, oracle, failed = connect(folder), entry.oracle_sql(), 0
     queries = entry.queries()
     print("without SQL:", sorted(set(queries) - set(oracle)), "without query:", sorted(set(oracle) - set(queries)))
