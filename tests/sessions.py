@@ -13,6 +13,7 @@ def local_session(cores: int = 8, **settings: str) -> SparkSession:
         .config("spark.driver.memory", "8g")
         .config("spark.sql.shuffle.partitions", "8")
         .config("spark.sql.session.timeZone", "UTC")
+        .config("spark.sql.maxMetadataStringLength", "10000")
     )
     for name, value in settings.items():
         builder = builder.config(name.replace("__", "."), value)
