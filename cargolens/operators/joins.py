@@ -2,14 +2,18 @@
 
 from __future__ import annotations
 
+import math
 from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-# A key is hot above this share of the rows, so at most 1/share keys are.  Keys
-# below it are left to the shuffle, where adaptive skew handling splits them.
-HOT_SHARE = 0.0002
-_TRACKED = 50_000  # sketch entries per task; the count error stays below the share
+# At most this many keys are looked for; the sketch entries per task keep the
+# count error well below 1/MOST_HOT of the rows.
+MOST_HOT = 5_000
+_TRACKED = 50_000
+
+# Hot keys are cut this much finer than partitions, as pieces meet by chance.
+_PIECES_PER_PARTITION = 4
 
 
 def plan_bytes(df: DataFrame) -> int:
@@ -27,20 +31,31 @@ def fits_broadcast(df: DataFrame) -> bool:
     return plan_bytes(df) <= broadcast_limit(df)
 
 
-def hot_hashes(rows: DataFrame, key_hash: Column) -> list[int]:
-    """Hashes of keys holding more than ``HOT_SHARE`` of the rows.
+def shuffle_partitions(df: DataFrame) -> int:
+    return int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+
+
+def hot_keys(rows: DataFrame, key_hash: Column) -> list[tuple[int, int]]:
+    """(hash, pieces) of keys holding more rows than a shuffle partition should.
 
     One bounded-size sketch per task, no shuffle of keys.  The answer only
-    steers where rows are joined, so an estimate is enough for exact results.
+    steers how rows are spread, so an estimate is enough for exact results.
+    A key is cut in proportion to its share, so all pieces together are at most
+    a few times the partitions plus the number of hot keys.
     """
-    most = int(1 / HOT_SHARE)
-    sketch = F.expr(f"approx_top_k(h, {most}, {_TRACKED})")
+    sketch = F.expr(f"approx_top_k(h, {MOST_HOT}, {_TRACKED})")
     row = (
         rows.select(key_hash.alias("h"))
         .agg(F.count("*").alias("n"), sketch.alias("top"))
         .first()
     )
-    return [item["item"] for item in row["top"] or [] if item["count"] > row["n"] * HOT_SHARE]
+    partitions, total = shuffle_partitions(rows), row["n"]
+    least = total / min(partitions, MOST_HOT)
+    return [
+        (item["item"], math.ceil(item["count"] * partitions * _PIECES_PER_PARTITION / total))
+        for item in row["top"] or []
+        if item["count"] > least
+    ]
 
 
 def lookup_join(
@@ -48,39 +63,48 @@ def lookup_join(
     dimension: DataFrame,
     on: Sequence[tuple[str, str]] | Sequence[str],
     keys_from: DataFrame | None = None,
+    spread_by: Sequence[str] | None = None,
 ) -> DataFrame:
     """Inner equi-join of ``rows`` with a table that is unique on its key.
 
-    A dimension below the broadcast limit is broadcast.  Beyond it, rows of
-    hot keys meet a broadcast of just those dimension rows (at most
-    ``1 / HOT_SHARE``, as the key is unique) and only the rest is shuffled,
-    so no task receives a hot key.  NULL keys match nothing.
+    A dimension below the broadcast limit is broadcast.  Beyond it both sides
+    are shuffled once, with the rows of a hot key cut into pieces and its one
+    dimension row repeated per piece, so no task receives a whole hot key.
+    NULL keys match nothing.
 
     ``keys_from`` names a cheaper table with the same key columns to look for
-    hot keys in.  The dimension's key columns are dropped unless named alike.
+    hot keys in; ``spread_by`` columns that tell the rows of one key apart
+    (by default all columns).  Key columns of the dimension that are named
+    like a column of ``rows`` appear once.
     """
     pairs = [(key, key) if isinstance(key, str) else key for key in on]
     # Key columns get names of their own, so every name below is unambiguous.
     keyed = dimension.select(
         "*", *[F.col(b).cast(rows.schema[a].dataType).alias(f"__{b}") for a, b in pairs]
     ).drop(*[b for _, b in pairs if b in rows.columns])
-    added = [name for name in keyed.columns if not name.startswith("__")]
-
-    def joined(left: DataFrame, right: DataFrame) -> DataFrame:
-        condition = [F.col(a) == F.col(f"__{b}") for a, b in pairs]
-        return left.join(right, condition, "inner").select(*rows.columns, *added)
+    wanted = [*rows.columns, *[name for name in keyed.columns if not name.startswith("__")]]
+    same_key = [F.col(a) == F.col(f"__{b}") for a, b in pairs]
 
     if fits_broadcast(dimension):
-        return joined(rows, F.broadcast(keyed))
+        return rows.join(F.broadcast(keyed), same_key, "inner").select(*wanted)
 
-    left_hash = F.xxhash64(*[F.col(a) for a, _ in pairs])
-    right_hash = F.xxhash64(*[F.col(f"__{b}") for _, b in pairs])
-    hot = hot_hashes(keys_from if keys_from is not None else rows, left_hash)
+    row_hash = F.xxhash64(*[F.col(a) for a, _ in pairs])
+    hot = hot_keys(keys_from if keys_from is not None else rows, row_hash)
     if not hot:
-        return joined(rows, keyed)
-    hot_part = joined(rows.where(left_hash.isin(hot)), F.broadcast(keyed.where(right_hash.isin(hot))))
-    cold_part = joined(rows.where(~left_hash.isin(hot)), keyed.where(~right_hash.isin(hot)))
-    return hot_part.unionByName(cold_part)
+        return rows.join(keyed, same_key, "inner").select(*wanted)
+
+    # At most MOST_HOT rows of two numbers.
+    pieces = F.broadcast(rows.sparkSession.createDataFrame(hot, "__hash long, __pieces int"))
+    piece = F.pmod(F.xxhash64(*(spread_by or rows.columns)), F.coalesce("__pieces", F.lit(1)))
+    cut_rows = rows.withColumn("__hash", row_hash).join(pieces, "__hash", "left")
+    cut_rows = cut_rows.select(*rows.columns, piece.alias("__piece"))
+    last = F.coalesce("__pieces", F.lit(1)).cast("long") - 1
+    every_piece = F.explode(F.sequence(F.lit(0).cast("long"), last))
+    dimension_hash = F.xxhash64(*[F.col(f"__{b}") for _, b in pairs])
+    copies = keyed.withColumn("__hash", dimension_hash).join(pieces, "__hash", "left")
+    copies = copies.select(*keyed.columns, every_piece.alias("__copy"))
+    matched = cut_rows.join(copies, [*same_key, F.col("__piece") == F.col("__copy")], "inner")
+    return matched.select(*wanted)
 
 
 def unmatched_keys(

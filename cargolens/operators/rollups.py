@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame, functions as F
 
@@ -55,10 +55,15 @@ def schedule_variance() -> Column:
     return F.col("actual_shipping_days") - F.col("scheduled_shipping_days")
 
 
-def share_of_total(df: DataFrame, value: str, name: str) -> DataFrame:
-    """Add the percentage of the column's grand total."""
-    total = df.agg(F.sum(value).alias("total"))
-    return df.withColumn(name, ratio_pct(F.col(value), total.scalar()))
+def share_of_total(df: DataFrame, shares: Mapping[str, str]) -> DataFrame:
+    """Add the percentage of each named column's grand total.
+
+    ``df`` is read twice; pass a written table if it is costly to compute.
+    """
+    for value, name in shares.items():
+        total = df.agg(F.sum(value).alias("total"))
+        df = df.withColumn(name, ratio_pct(F.col(value), total.scalar()))
+    return df
 
 
 def mean_parts(value: Column, name: str, condition: Column | None = None) -> list[Column]:

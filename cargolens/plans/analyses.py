@@ -26,6 +26,7 @@ from cargolens.operators.rollups import (
     sum_where,
 )
 from cargolens.plans.star import Star
+from cargolens.workspace import Workspace
 
 # Delivery outcomes as cleaned.
 LATE, ON_TIME, ADVANCE, CANCELED = (
@@ -41,7 +42,14 @@ def _status(name: str) -> Column:
 
 def _with_profile(star: Star, *attributes: str) -> DataFrame:
     profile = star.profile.select("order_profile_key", *attributes)
-    return lookup_join(star.fact, profile, ["order_profile_key"], keys_from=star.fact)
+    return lookup_join(
+        star.fact, profile, ["order_profile_key"], keys_from=star.fact, spread_by=["order_item_id"]
+    )
+
+
+def _kept(summary: DataFrame) -> DataFrame:
+    """Write a small summary that is read more than once, so the fact is read once."""
+    return Workspace(summary.sparkSession).materialize(summary, "summary")
 
 
 def _losses_by(star: Star, *attributes: str) -> DataFrame:
@@ -91,7 +99,7 @@ def executive_kpis(star: Star, top_products: int = 8) -> DataFrame:
         money(F.abs(F.sum("lost"))).alias("total_negative_profit"),
         ratio_pct(F.sum("is_late"), total_orders).alias("late_delivery_rate_pct"),
     )
-    losses = product_losses(star).withColumn("loss", F.abs("negative_profit"))
+    losses = _kept(product_losses(star).withColumn("loss", F.abs("negative_profit")))
     share = f"top_{top_products}_negative_profit_share_pct"
     combined = one_row([headline, top_k_share(losses, "loss", top_products, _loss_order(), share)])
     *before, late = headline.columns
@@ -256,9 +264,8 @@ def delivery_outcomes(star: Star) -> DataFrame:
         *mean_parts(scheduled, "scheduled"),
         *mean_parts(schedule_variance(), "variance"),
     )
-    shared = share_of_total(outcomes, "total_orders", "order_share_pct")
-    shared = shared.withColumn(
-        "sales_share_pct", ratio_pct(F.col("sales"), outcomes.agg(F.sum("sales")).scalar())
+    shared = share_of_total(
+        _kept(outcomes), {"total_orders": "order_share_pct", "sales": "sales_share_pct"}
     )
     return shared.select(
         "delivery_status",

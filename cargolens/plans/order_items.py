@@ -200,23 +200,27 @@ def typed_items(spark: SparkSession, folder: str, workspace: Workspace | None =
         ),
         [("l_orderkey", "o_orderkey")],
         keys_from=lines,
+        spread_by=["order_item_id"],
     )
     joined = lookup_join(
         with_orders,
         read_table(spark, folder, "customer").select("c_custkey", "c_name", "c_nationkey", "c_mktsegment"),
         [("o_custkey", "c_custkey")],
+        spread_by=["order_item_id"],
     )
     joined = lookup_join(
         joined,
         read_table(spark, folder, "part").select("p_partkey", "p_name", "p_brand", "p_type", "p_retailprice"),
         [("l_partkey", "p_partkey")],
         keys_from=lines,
+        spread_by=["order_item_id"],
     )
     joined = lookup_join(
         joined,
         read_table(spark, folder, "supplier").select("s_suppkey", "s_nationkey"),
         [("l_suppkey", "s_suppkey")],
         keys_from=lines,
+        spread_by=["order_item_id"],
     )
     joined = lookup_join(
         joined,

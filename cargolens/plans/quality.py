@@ -88,11 +88,12 @@ def calendar_violations(date: DataFrame) -> DataFrame:
     ])
 
 
+def fact_nulls(fact: DataFrame) -> DataFrame:
+    return checks.check_not_null(fact, *S.FACT_NOT_NULL)
+
+
 def fact_violations(fact: DataFrame) -> DataFrame:
-    return checks.union_all([
-        checks.check_unique(fact, "order_item_id"),
-        checks.check_not_null(fact, *S.FACT_NOT_NULL),
-    ])
+    return checks.union_all([checks.check_unique(fact, "order_item_id"), fact_nulls(fact)])
 
 
 def all_violations(silver: DataFrame, star: Star) -> DataFrame:

@@ -101,7 +101,7 @@ def build_fact(
         (profile, PROFILE), (destination, DESTINATION), (product, PRODUCT), (customer, CUSTOMER)
     ):
         keys = table.select(spec.key, *spec.natural_key)
-        rows = lookup_join(rows, keys, spec.natural_key, keys_from=silver)
+        rows = lookup_join(rows, keys, spec.natural_key, keys_from=silver, spread_by=["order_item_id"])
     return rows.select(
         *measures[:2],
         "customer_key", "product_key", "destination_key", "order_profile_key",
@@ -145,7 +145,7 @@ def star_view(star: Star, fact: DataFrame | None = None) -> DataFrame:
         (product, "product_key"),
         (customer, "customer_key"),
     ):
-        rows = lookup_join(rows, table, [key], keys_from=source)
+        rows = lookup_join(rows, table, [key], keys_from=source, spread_by=["order_item_id"])
     return rows.select(
         "order_id", "order_item_id",
         "customer_fname", "customer_lname", "customer_segment",

@@ -27,7 +27,7 @@ from cargolens.plans import analyses as A, quality as Q, silver as C, star as G
 from cargolens.plans.order_items import raw_export, typed_items
 from cargolens.plans.warehouse import Warehouse
 from cargolens.sources.csv_export import read_export, write_export
-from cargolens.workspace import shared_root
+from cargolens.workspace import Workspace, shared_root
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -398,7 +398,8 @@ def _primitives() -> dict[str, Query]:
 
     def sales_shares(s: G.Star) -> DataFrame:
         per_customer = s.fact.groupBy("customer_key").agg(F.sum("sales").alias("total_sales"))
-        return share_of_total(per_customer, "total_sales", "sales_share_pct")
+        kept = Workspace(per_customer.sparkSession).materialize(per_customer, "summary")
+        return share_of_total(kept, {"total_sales": "sales_share_pct"})
 
     def item_curve(s: G.Star) -> DataFrame:
         items = s.fact.select("order_item_id", "order_profit_per_order")

@@ -45,3 +45,8 @@ class Workspace:
         path = self.fresh_path(name)
         df.write.parquet(path)
         return self.spark.read.schema(df.schema).parquet(path)
+
+    def discard(self) -> None:
+        """Delete this workspace's staged tables once nothing refers to them."""
+        path = self.spark._jvm.org.apache.hadoop.fs.Path(f"{self.root}/staging")
+        path.getFileSystem(self.spark._jsc.hadoopConfiguration()).delete(path, True)

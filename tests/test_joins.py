@@ -1,5 +1,7 @@
 from __future__ import annotations
 
+import math
+
 import pytest
 from pyspark.sql import functions as F
 
@@ -37,23 +39,29 @@ def test_lookup_on_several_columns_ignores_null_parts(spark, limit):
     )
 
 
-def test_hot_keys_are_found_and_bounded(spark):
+def test_hot_keys_are_found_and_cut(spark):
     rows = spark.range(30_000).select(F.when(F.col("id") % 3 == 0, 5).otherwise(F.col("id")).alias("k"))
-    hot = joins.hot_hashes(rows, F.xxhash64("k"))
     (wanted,) = rows.where("k = 5").select(F.xxhash64("k")).first()
-    assert hot == [wanted]
-    assert joins.hot_hashes(rows.where("k < 0"), F.xxhash64("k")) == []
+    partitions = joins.shuffle_partitions(rows)
+    assert joins.hot_keys(rows, F.xxhash64("k")) == [(wanted, math.ceil(10_001 * partitions * 4 / 30_000))]
+    assert joins.hot_keys(rows.where("k < 0"), F.xxhash64("k")) == []
 
 
-def test_hot_rows_are_not_shuffled(spark):
+def test_no_task_receives_a_whole_hot_key(spark):
+    """The piece is part of the shuffle key, and copies of one row spread too."""
     spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
     try:
         rows = spark.range(30_000).select("id", F.when(F.col("id") % 3 == 0, 5).otherwise(F.col("id")).alias("k"))
         dimension = spark.range(30_000).select(F.col("id").alias("k"), F.lit("d").alias("name"))
-        plan = joins.lookup_join(rows, dimension, ["k"])._jdf.queryExecution().executedPlan().toString()
+        joined = joins.lookup_join(rows, dimension, ["k"], spread_by=["id"])
+        tasks = joined.groupBy(F.spark_partition_id()).agg(F.count_if(F.col("k") == 5).alias("n"))
+        sizes = [r["n"] for r in tasks.collect()]
+        assert sum(sizes) == 10_001 and max(sizes) < 4_000
+        assert joined.count() == 30_000
     finally:
         spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
-    assert "BroadcastHashJoin" in plan and "SortMergeJoin" in plan
+        spark.conf.unset("spark.sql.adaptive.enabled")
 
 
 def test_dimensions_below_the_limit_are_broadcast(spark, tmp_path):
