@@ -61,9 +61,11 @@ def enforce(violations: DataFrame, table: str) -> None:
     broken = violations.where(F.col("violations") > 0).collect()
     if broken:
         found = "; ".join(
-            f"{row['constraint_name']}({row['column_name']}): {row['violations']}" for row in broken
+            f"{row.asDict().get('table_name', table)}: "
+            f"{row['constraint_name']}({row['column_name']}): {row['violations']}"
+            for row in broken
         )
-        raise ConstraintViolation(f"{table}: {found}")
+        raise ConstraintViolation(found)
 
 
 def expectation(df: DataFrame, check: str, expected, actual) -> DataFrame:

@@ -122,8 +122,9 @@ def inconsistent_keys(df: DataFrame, key: str, attributes: Sequence[str]) -> Dat
 
     A key varies when its minimum and maximum differ or only some of its rows
     are NULL, so all attributes fit in one grouping without distinct counts.
+    Equal rows are dropped first, within each task before anything is shuffled.
     """
-    per_key = df.groupBy(key).agg(
+    per_key = df.select(key, *attributes).distinct().groupBy(key).agg(
         *[
             (
                 F.coalesce(F.min(name) != F.max(name), F.lit(False))

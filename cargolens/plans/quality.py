@@ -96,14 +96,25 @@ def fact_violations(fact: DataFrame) -> DataFrame:
     return checks.union_all([checks.check_unique(fact, "order_item_id"), fact_nulls(fact)])
 
 
+def _labelled(tables: list[tuple[str, DataFrame]]) -> DataFrame:
+    return checks.union_all([
+        found.select(F.lit(table).alias("table_name"), "*") for table, found in tables
+    ])
+
+
+def model_violations(dimensions: list[tuple[Dimension, DataFrame]], date: DataFrame) -> DataFrame:
+    """Constraints of all dimensions and the calendar, checked in one job."""
+    tables = [(spec.table, dimension_violations(frame, spec)) for spec, frame in dimensions]
+    return _labelled([*tables, ("dim_date", calendar_violations(date))])
+
+
 def all_violations(silver: DataFrame, star: Star) -> DataFrame:
     """Every declared constraint with its number of violations."""
-    tables = [("silver", silver_violations(silver))]
-    tables += [(d.table, dimension_violations(star.dimension(d), d)) for d in DIMENSIONS]
-    tables += [("dim_date", calendar_violations(star.date))]
-    tables += [("fact_order_item", fact_violations(star.fact))]
+    dimensions = [(spec, star.dimension(spec)) for spec in DIMENSIONS]
     return checks.union_all([
-        found.select(F.lit(table).alias("table_name"), "*") for table, found in tables
+        _labelled([("silver", silver_violations(silver))]),
+        model_violations(dimensions, star.date),
+        _labelled([("fact_order_item", fact_violations(star.fact))]),
     ])
 
 

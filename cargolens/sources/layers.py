@@ -6,6 +6,8 @@ from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession, types as T
 
+from cargolens.workspace import delete_folder
+
 # Some fifty cleaned columns compile into one method longer than the JVM
 # optimises; above this size Spark falls back to several smaller methods.
 _WIDE_ROWS = ("spark.sql.codegen.hugeMethodLimit", "8000")
@@ -48,10 +50,12 @@ class Layer:
         for field in schema.fields:
             if found[field.name] != field.dataType:
                 raise TypeError(f"{table}.{field.name}: {found[field.name]} is not {field.dataType}")
-        with wide_rows(self.spark):
-            df.select(*schema.names).write.mode("overwrite").parquet(self.path(table))
+        df.select(*schema.names).write.mode("overwrite").parquet(self.path(table))
         return self.read(table, schema)
 
+    def drop(self, table: str) -> None:
+        delete_folder(self.spark, self.path(table))
+
     def register_view(self, table: str, schema: T.StructType) -> str:
         """A temporary view named after layer and table, e.g. ``gold_dim_date``."""
         view = f"{self.name}_{table}"

@@ -29,6 +29,12 @@ def shared_root(spark: SparkSession) -> str:
     return _local_roots[app]
 
 
+def delete_folder(spark: SparkSession, folder: str) -> None:
+    """Delete a folder on whatever file system it is on, if it exists."""
+    path = spark._jvm.org.apache.hadoop.fs.Path(folder)
+    path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
+
+
 class Workspace:
     """A folder below the shared root that belongs to one application."""
 
@@ -48,5 +54,4 @@ class Workspace:
 
     def discard(self) -> None:
         """Delete this workspace's staged tables once nothing refers to them."""
-        path = self.spark._jvm.org.apache.hadoop.fs.Path(f"{self.root}/staging")
-        path.getFileSystem(self.spark._jsc.hadoopConfiguration()).delete(path, True)
+        delete_folder(self.spark, f"{self.root}/staging")

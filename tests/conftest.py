@@ -12,7 +12,8 @@ from tests.sessions import local_session  # noqa: E402
 
 @pytest.fixture(scope="session")
 def spark():
-    session = local_session(4)
+    # A few rows per test: compiling whole stages would take most of the time.
+    session = local_session(4, **{"spark.sql.codegen.wholeStage": "false", "spark.sql.shuffle.partitions": "4"})
     yield session
     session.stop()
 

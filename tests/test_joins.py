@@ -51,6 +51,7 @@ def test_no_task_receives_a_whole_hot_key(spark):
     """The piece is part of the shuffle key, and copies of one row spread too."""
     spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
     spark.conf.set("spark.sql.adaptive.enabled", "false")
+    spark.conf.set("spark.sql.shuffle.partitions", "8")
     try:
         rows = spark.range(30_000).select("id", F.when(F.col("id") % 3 == 0, 5).otherwise(F.col("id")).alias("k"))
         dimension = spark.range(30_000).select(F.col("id").alias("k"), F.lit("d").alias("name"))
@@ -62,6 +63,7 @@ def test_no_task_receives_a_whole_hot_key(spark):
     finally:
         spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
         spark.conf.unset("spark.sql.adaptive.enabled")
+        spark.conf.set("spark.sql.shuffle.partitions", "4")
 
 
 def test_dimensions_below_the_limit_are_broadcast(spark, tmp_path):

@@ -82,7 +82,10 @@ def test_null_destination_part_blocks_the_release(spark, tmp_path):
     house.build_silver()
     with pytest.raises(ConstraintViolation, match="fact_rows"):
         house.build_gold()
-    lost = model.unloadable_keys(house.silver, house.star.destination, model.DESTINATION)
+    with pytest.raises(Exception, match="PATH_NOT_FOUND"):  # no fact is released
+        house.star.fact.count()
+    destination = house.gold_layer.read(model.DESTINATION.table, model.DESTINATION.schema)
+    lost = model.unloadable_keys(house.silver, destination, model.DESTINATION)
     assert [(r["order_state"], r["row_count"]) for r in lost.collect()] == [(None, 1)]
 
 
