@@ -9,15 +9,16 @@ from __future__ import annotations
 
 from pyspark.sql import Column, functions as F, types as T
 
-from cargolens.functions.text import blank_to_null
-
 # Fixed value: month/day/year hour:minute, each part of one or two digits.
 US_TIMESTAMP = r"^(\d{1,2})/(\d{1,2})/(\d{4}) (\d{1,2}):(\d{1,2})$"
 
 
 def read_as(text: Column, data_type: T.DataType) -> Column:
-    """Blank to NULL, then cast; decimals round half away from zero."""
-    return blank_to_null(text).try_cast(data_type)
+    """NULL for blank text; decimals round half away from zero.
+
+    The cast itself ignores outer spaces and has no value for blank text.
+    """
+    return text.try_cast(data_type)
 
 
 def read_us_timestamp(text: Column) -> Column:
@@ -47,7 +48,7 @@ def or_fail(text: Column, value: Column, label: str) -> Column:
 def numeric(name: str) -> Column:
     """A raw text column as an exact number, failing on any text that is none."""
     text = F.col(name)
-    value = F.trim(text).try_cast(T.DecimalType(38, 18))
+    value = text.try_cast(T.DecimalType(38, 18))
     return F.coalesce(value, F.when(text.isNotNull(), failure(name)))
 
 

@@ -61,3 +61,17 @@ def test_layers_are_built_once_per_input(spark):
     first = registry._warehouse(spark, FOLDER, "bronze")
     assert registry._warehouse(spark, FOLDER, "bronze") is first
     assert registry._fingerprint(spark, FOLDER) != registry._fingerprint(spark, "/root/testdata/sf0.01")
+
+
+def test_samples_and_top_lists_are_not_full_sorts(star):
+    from cargolens.plans.star import star_sample
+
+    assert "TakeOrderedAndProject" in physical(star_sample(star))
+    assert "TakeOrderedAndProject" in physical(analyses.worst_products(star))
+
+
+def test_reports_read_the_fact_once(star):
+    for report in (analyses.delivery_outcomes, analyses.shipping_mode_performance,
+                   analyses.service_by_customer_value, analyses.category_losses):
+        plan = physical(report(star))
+        assert plan.count("fact_order_item") <= 1, report.__name__
