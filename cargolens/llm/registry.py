@@ -7,13 +7,15 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from cargolens.llm.packing import op1_best_fit_packing
+from cargolens.llm.quality import OP3_SQL, op3_quality_rules
 from cargolens.llm.sentencepieces import op6_sentencepiece
 from cargolens.llm.sharding import op10_sharding
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_best_fit_packing": op1_best_fit_packing,
+    "op3_quality_rules": op3_quality_rules,
     "op6_sentencepiece": op6_sentencepiece,
     "op10_sharding": op10_sharding,
 }
 
-SQL: dict[str, str] = {}
+SQL: dict[str, str] = {"op3_quality_rules": OP3_SQL}
