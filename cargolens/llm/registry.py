@@ -6,6 +6,8 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
+from cargolens.llm.language import op4_language_id
+from cargolens.llm.near_duplicates import op7_minhash_dedup
 from cargolens.llm.packing import op1_best_fit_packing
 from cargolens.llm.quality import OP3_SQL, op3_quality_rules
 from cargolens.llm.sentencepieces import op6_sentencepiece
@@ -14,7 +16,9 @@ from cargolens.llm.sharding import op10_sharding
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_best_fit_packing": op1_best_fit_packing,
     "op3_quality_rules": op3_quality_rules,
+    "op4_language_id": op4_language_id,
     "op6_sentencepiece": op6_sentencepiece,
+    "op7_minhash_dedup": op7_minhash_dedup,
     "op10_sharding": op10_sharding,
 }
 
