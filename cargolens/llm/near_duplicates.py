@@ -35,7 +35,7 @@ import numpy as np
 import pandas as pd
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
 from cargolens.llm.common import Scratch, read
 from cargolens.llm.components import components
@@ -124,7 +124,7 @@ def signatures(docs: DataFrame) -> DataFrame:
     return docs.select("doc_id", "text").mapInArrow(run, schema)
 
 
-@F.pandas_udf("boolean")
+@F.pandas_udf(T.BooleanType())
 def _alike(left: pd.Series, right: pd.Series) -> pd.Series:
     a = np.frombuffer(b"".join(left), np.uint8).reshape(-1, HASHES)
     b = np.frombuffer(b"".join(right), np.uint8).reshape(-1, HASHES)

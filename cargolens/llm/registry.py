@@ -12,6 +12,7 @@ from cargolens.llm.packing import op1_best_fit_packing
 from cargolens.llm.quality import OP3_SQL, op3_quality_rules
 from cargolens.llm.sentencepieces import op6_sentencepiece
 from cargolens.llm.sharding import op10_sharding
+from cargolens.llm.substrings import op9_substring_dedup
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_best_fit_packing": op1_best_fit_packing,
@@ -19,6 +20,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op4_language_id": op4_language_id,
     "op6_sentencepiece": op6_sentencepiece,
     "op7_minhash_dedup": op7_minhash_dedup,
+    "op9_substring_dedup": op9_substring_dedup,
     "op10_sharding": op10_sharding,
 }
 
