@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from cargolens.llm.language import op4_language_id
 from cargolens.llm.near_duplicates import op7_minhash_dedup
+from cargolens.llm.neighbours import op8_nearest_neighbours
 from cargolens.llm.packing import op1_best_fit_packing
 from cargolens.llm.quality import OP3_SQL, op3_quality_rules
 from cargolens.llm.sentencepieces import op6_sentencepiece
@@ -20,6 +21,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op4_language_id": op4_language_id,
     "op6_sentencepiece": op6_sentencepiece,
     "op7_minhash_dedup": op7_minhash_dedup,
+    "op8_nearest_neighbours": op8_nearest_neighbours,
     "op9_substring_dedup": op9_substring_dedup,
     "op10_sharding": op10_sharding,
 }
