@@ -7,6 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from cargolens.llm.language import op4_language_id
+from cargolens.llm.licenses import op5_license_scan, scan_sql
 from cargolens.llm.near_duplicates import op7_minhash_dedup
 from cargolens.llm.neighbours import op8_nearest_neighbours
 from cargolens.llm.packing import op1_best_fit_packing
@@ -19,6 +20,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_best_fit_packing": op1_best_fit_packing,
     "op3_quality_rules": op3_quality_rules,
     "op4_language_id": op4_language_id,
+    "op5_license_scan": op5_license_scan,
     "op6_sentencepiece": op6_sentencepiece,
     "op7_minhash_dedup": op7_minhash_dedup,
     "op8_nearest_neighbours": op8_nearest_neighbours,
@@ -26,4 +28,4 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op10_sharding": op10_sharding,
 }
 
-SQL: dict[str, str] = {"op3_quality_rules": OP3_SQL}
+SQL: dict[str, str] = {"op3_quality_rules": OP3_SQL, "op5_license_scan": scan_sql()}
