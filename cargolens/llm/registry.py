@@ -15,9 +15,11 @@ from cargolens.llm.quality import OP3_SQL, op3_quality_rules
 from cargolens.llm.sentencepieces import op6_sentencepiece
 from cargolens.llm.sharding import op10_sharding
 from cargolens.llm.substrings import op9_substring_dedup
+from cargolens.llm.suffixes import op2_suffix_dedup
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_best_fit_packing": op1_best_fit_packing,
+    "op2_suffix_dedup": op2_suffix_dedup,
     "op3_quality_rules": op3_quality_rules,
     "op4_language_id": op4_language_id,
     "op5_license_scan": op5_license_scan,
