@@ -53,12 +53,15 @@ class Codec:
         # stripped from a later word.
         self._front = lib.encode("a")
         self._strip = len(lib.decode(self._front))
+        self._mark = lib.encode("a" + MARK)[len(self._front) :]
         self._ids: dict[str, str] = {}
         self._odd: dict[str, str] = {}  # words that don't decode to themselves
 
     def _segment(self, words: list[str], ids: dict[str, str], odd: dict[str, str]) -> None:
-        # The library marks the start itself, so one marker is left out.
+        # The library marks the start itself, so one marker is left out; but it does not
+        # mark an empty text, so a marker alone is segmented behind a word.
         found = self.library.encode([w.removeprefix(MARK) for w in words], num_threads=1)
+        found = [self._mark if w == MARK else x for w, x in zip(words, found)]
         surfaces = self.library.decode([self._front + x for x in found], num_threads=1)
         for word, x, surface in zip(words, found, surfaces):
             ids[word] = " ".join(map(str, x))
