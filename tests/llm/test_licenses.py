@@ -1,0 +1,86 @@
+import random
+import re
+
+import duckdb
+import pytest
+from pyspark.sql import functions as F
+
+from cargolens.llm import licenses
+from cargolens.llm.licenses import TEMPLATES, _hashes, _minima, op5_license_scan, scan, scan_sql, window_size
+from tests.llm.frames import clashing, corpus, documents, edges, folder, prose, words
+
+
+def noticed(seed=3):
+    """Prose with whole, edited and cut notices at various places."""
+    rng = random.Random(seed)
+    rows = []
+    for i, (name, text) in enumerate(sorted(TEMPLATES.items()) * 3):
+        found = text.split(" ")
+        if i // len(TEMPLATES) == 1 and len(found) > 12:
+            found[rng.randrange(len(found))] = "edited"
+        if i // len(TEMPLATES) == 2:
+            found = found[: len(found) // 2]
+        rows.append((i, f"{prose(rng, n=rng.randrange(90))}\n{' '.join(found)}\n{prose(rng, n=rng.randrange(40))}", None, None, None))
+    rows.append((500, "RELEASED under\nthe MIT   license", None, None, None))
+    rows.append((501, None, None, None, None))
+    rows.append((502, "Released under the MIT", None, None, None))
+    return rows
+
+
+@pytest.mark.parametrize("rows", [[], corpus(n=12), noticed()], ids=["empty", "corpus", "noticed"])
+def test_same_as_containment_in_all_windows(spark, tmp_path, rows):
+    path = folder(clashing(documents(spark, rows)), tmp_path / "in")
+    names = ("doc_id", "license", "matched", "shingles", "first_word")
+    found = sorted(tuple(r[n] for n in names) for r in op5_license_scan(spark, path).collect())
+    with duckdb.connect() as db:
+        db.sql(f"CREATE VIEW documents AS SELECT * FROM '{path}/documents.parquet/*.parquet'")
+        want = sorted(db.sql(f"SELECT {', '.join(names)} FROM ({scan_sql()})").fetchall())
+    assert found == want
+    if len(rows) > 20:
+        assert {r[1] for r in found} == set(TEMPLATES)
+
+
+def test_edge_rows(spark):
+    assert scan(clashing(documents(spark, edges()))).collect() == []
+
+
+def test_repeated_rows_and_null_ids_give_their_own_results(spark):
+    text = "Some words. " + TEMPLATES["mit"]
+    rows = [(None, text), (None, text), (4, text), (4, text)]
+    found = scan(spark.createDataFrame(rows, "doc_id long, text string")).collect()
+    assert sorted(((r["doc_id"], r["license"]) for r in found), key=str) == [(4, "mit")] * 2 + [(None, "mit")] * 2
+
+
+def test_notices_far_into_long_texts(spark):
+    rng = random.Random(2)
+    filler = " ".join(words(rng, "en", 4000))
+    docs = spark.createDataFrame([(1, f"{filler} {TEMPLATES['gpl-3.0-header']} {filler}")], "doc_id long, text string")
+    found = scan(docs).collect()
+    assert [(r["license"], r["matched"] == r["shingles"]) for r in found] == [("gpl-3.0-header", True)]
+
+
+def test_windows_hold_every_occurrence():
+    for n in range(5, 300):
+        size = window_size(n)
+        assert size >= 2 * n and size // 2 < 2 * n
+        assert all(any(start <= at and at + n <= start + size for start in range(0, 2000, size // 2)) for at in range(0, 1500, 7))
+
+
+def test_bands_agree_as_often_as_sets_do(spark):
+    left, right = list(range(400)), list(range(100, 500))
+    row = spark.createDataFrame([(left, right)], "a array<long>, b array<long>").select(
+        _minima(F.transform("a", lambda x: F.xxhash64(x))).alias("a"),
+        _minima(F.transform("b", lambda x: F.xxhash64(x))).alias("b"),
+    ).first()
+    share = sum(x == y for x, y in zip(row["a"], row["b"])) / licenses.BANDS
+    assert abs(share - 300 / 500) < 0.2
+
+
+def test_short_templates_are_refused(spark):
+    with pytest.raises(ValueError):
+        scan(documents(spark, corpus(n=3)), {"short": "only three words"})
+
+
+def test_plan_has_no_python(spark, tmp_path):
+    plan = op5_license_scan(spark, folder(documents(spark, corpus(n=5)), tmp_path / "in"))
+    assert not re.search("Python|Arrow|Pandas", plan._jdf.queryExecution().executedPlan().toString())

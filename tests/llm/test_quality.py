@@ -1,0 +1,93 @@
+import random
+import re
+from collections import Counter
+
+import duckdb
+import pytest
+from pyspark.sql import functions as F
+
+from cargolens.llm.quality import OP3_SQL, judge, line_fails, op3_quality_rules
+from tests.llm.frames import clashing, corpus, documents, edges, folder, prose
+
+WORD = re.compile(r"[^\x20\x09-\x0D]+")
+
+
+def _base(text):
+    text = text or ""
+    words = WORD.findall(text)
+    grams = Counter(tuple(words[i : i + 8]) for i in range(len(words) - 7))
+    covered = set()
+    for i in range(len(words) - 7):
+        if grams[tuple(words[i : i + 8])] > 1:
+            covered.update(range(i, i + 8))
+    lines = [x for x in text.split("\n") if WORD.search(x)]
+    n = len(words)
+    return (
+        n, sum(map(len, words)), len(re.findall(r"[#*$%&|<>]", text)), len(lines) - len(set(lines)),
+        len(covered), n < 20 or 100 * len(covered) > 30 * n,
+    )
+
+
+NAMES = ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed")
+
+
+@pytest.mark.parametrize("rows", [[], edges(), corpus()])
+def test_base_counts(spark, tmp_path, rows):
+    docs = clashing(documents(spark, rows))
+    found = op3_quality_rules(spark, folder(docs, tmp_path / "in")).collect()
+    want = Counter((i, *_base(t)) for i, t, *_ in rows)
+    assert Counter((r["doc_id"], *[r[n] for n in NAMES]) for r in found) == want
+    assert not any(r["base_failed"] and r["kept"] for r in found)
+
+
+def test_same_as_sql(spark, tmp_path):
+    rows = corpus() + [
+        (900, "Good sentence number one is here.\n" * 3 + "Home | About | News | Contact | Shop\n" * 4, "en", "s", 1),
+        (901, "All words here are fine. " * 6 + "\nClick here to enable javascript now.\n", "en", "s", 1),
+        (902, "BUY!! NOW!! CHEAP!! " * 9, "en", "s", 1),
+        (903, "no end of any sentence in this line of words\n" * 5, "en", "s", 1),
+        (904, "", "en", "s", 1), (905, None, "en", "s", 1),
+    ]
+    path = folder(documents(spark, rows), tmp_path / "in")
+    names = ("doc_id", *NAMES, "kept", "n_lost_words")
+    found = {tuple(r[n] for n in names) for r in op3_quality_rules(spark, path).collect()}
+    with duckdb.connect() as db:
+        db.sql(f"CREATE VIEW documents AS SELECT * FROM '{path}/documents.parquet/*.parquet'")
+        want = set(db.sql(f"SELECT {', '.join(names)} FROM ({OP3_SQL})").fetchall())
+    assert found == want
+
+
+@pytest.mark.parametrize(
+    "line, fails",
+    [
+        ("A plain sentence with some words.", False),
+        ("He said: “That is all.”", False),
+        ("", False),
+        (" \t ", False),
+        ("Home | About | Contact | Imprint.", True),
+        ("a title without an end", True),
+        ("WOW!! GREAT!! BUY!! NOW!!", True),
+        ("ab### cd$$$ ef%%% gh&&&.", True),
+        ("Read our privacy policy for details.", True),
+        ("A long sentence that speaks of the privacy policy of a state " + "and of much else " * 10 + ".", False),
+    ],
+)
+def test_lines(spark, line, fails):
+    found = spark.createDataFrame([(line,)], "x string").select(line_fails(F.col("x")).alias("f")).first()
+    assert found["f"] is fails
+
+
+def test_failing_lines_go_and_documents_that_lose_too_much(spark):
+    good = prose(random.Random(3), "en", 80)
+    first = good.split("\n")[0]
+    rows = [(1, good + "\nHome | News | Shop | Help"), (2, "\n".join([f"menu item {i} without end or mark" for i in range(9)]) + "\n" + first)]
+    found = spark.createDataFrame(rows, "i int, t string").select("i", judge(F.col("t")).alias("q"))
+    found = {r["i"]: r["q"] for r in found.collect()}
+    assert found[1]["clean_text"] == good and found[1]["kept"] and found[1]["n_lost_words"] == 7
+    assert not found[2]["kept"]
+
+
+def test_plan_has_no_python_and_no_shuffle(spark, tmp_path):
+    query = op3_quality_rules(spark, folder(documents(spark, corpus()), tmp_path / "in"))
+    plan = query._jdf.queryExecution().executedPlan().toString()
+    assert not re.search("Python|Arrow|Pandas|Exchange", plan)
