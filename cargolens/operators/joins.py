@@ -7,10 +7,10 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-# At most this many keys are looked for; the sketch entries per task keep the
-# count error well below 1/MOST_HOT of the rows.
-MOST_HOT = 5_000
-_TRACKED = 50_000
+# As many keys are looked for as there are shuffle partitions, as no more can hold more
+# rows than a partition should; the sketch tracks ten times as many, up to what it can.
+MOST_HOT = 100_000
+_TRACKED_FOR_EACH = 10
 
 # Hot keys are cut this much finer than partitions, as pieces meet by chance.
 _PIECES_PER_PARTITION = 4
@@ -43,14 +43,16 @@ def hot_keys(rows: DataFrame, key_hash: Column) -> list[tuple[int, int]]:
     A key is cut in proportion to its share, so all pieces together are at most
     a few times the partitions plus the number of hot keys.
     """
-    sketch = F.expr(f"approx_top_k(h, {MOST_HOT}, {_TRACKED})")
+    partitions = shuffle_partitions(rows)
+    most = max(1, min(partitions, MOST_HOT))
+    sketch = F.expr(f"approx_top_k(h, {most}, {most * _TRACKED_FOR_EACH})")
     row = (
         rows.select(key_hash.alias("h"))
         .agg(F.count("*").alias("n"), sketch.alias("top"))
         .first()
     )
-    partitions, total = shuffle_partitions(rows), row["n"]
-    least = total / min(partitions, MOST_HOT)
+    total = row["n"]
+    least = total / most
     return [
         (item["item"], math.ceil(item["count"] * partitions * _PIECES_PER_PARTITION / total))
         for item in row["top"] or []
@@ -64,6 +66,7 @@ def lookup_join(
     on: Sequence[tuple[str, str]] | Sequence[str],
     keys_from: DataFrame | None = None,
     spread_by: Sequence[str] | None = None,
+    rows_unique: bool = False,
 ) -> DataFrame:
     """Inner equi-join of ``rows`` with a table that is unique on its key.
 
@@ -72,8 +75,10 @@ def lookup_join(
     dimension row repeated per piece, so no task receives a whole hot key.
     NULL keys match nothing.
 
-    ``keys_from`` names a cheaper table with the same key columns to look for
-    hot keys in; ``spread_by`` columns that tell the rows of one key apart
+    ``rows_unique`` says that ``rows`` has one row per key (it was grouped by it), so no
+    key can be hot and none is looked for.  Otherwise ``keys_from`` names a table with the
+    same key columns to look for hot keys in, as the search reads it once more; without it
+    ``rows`` should be a table itself.  ``spread_by`` columns that tell the rows of one key apart
     (by default all columns).  Key columns of the dimension that are named
     like a column of ``rows`` appear once.
     """
@@ -88,6 +93,8 @@ def lookup_join(
     if fits_broadcast(dimension):
         return rows.join(F.broadcast(keyed), same_key, "inner").select(*wanted)
 
+    if rows_unique:
+        return rows.join(keyed, same_key, "inner").select(*wanted)
     row_hash = F.xxhash64(*[F.col(a) for a, _ in pairs])
     hot = hot_keys(keys_from if keys_from is not None else rows, row_hash)
     if not hot:

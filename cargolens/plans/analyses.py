@@ -56,7 +56,7 @@ def _losses_by(star: Star, *attributes: str) -> DataFrame:
     """Loss split per product attribute, added up per product key first."""
     per_product = loss_split(star.fact, "product_key")
     product = star.product.select("product_key", *attributes)
-    return merge_loss_splits(lookup_join(per_product, product, ["product_key"]), *attributes)
+    return merge_loss_splits(lookup_join(per_product, product, ["product_key"], rows_unique=True), *attributes)
 
 
 def product_losses(star: Star) -> DataFrame:
@@ -128,12 +128,16 @@ def monthly_coverage(
             ),
             months,
             ["order_date_key"],
+            keys_from=fact,
         )
         .groupBy(*by_month, "product_key")
         .agg(F.sum("sales").alias("sales"), F.sum("units").alias("units"))
     )
     coverage = (
-        lookup_join(per_product, star.product.select("product_key", "category_name"), ["product_key"])
+        lookup_join(
+            per_product, star.product.select("product_key", "category_name"), ["product_key"],
+            keys_from=fact,
+        )
         .groupBy(*by_month)
         .agg(
             F.count("*").alias("distinct_products"),
@@ -143,7 +147,7 @@ def monthly_coverage(
         )
     )
     orders = (
-        lookup_join(fact.select("order_date_key", "order_id"), months, ["order_date_key"])
+        lookup_join(fact.select("order_date_key", "order_id"), months, ["order_date_key"], keys_from=fact)
         .groupBy("year", "month")
         .agg(F.count_distinct("order_id").alias("orders"))
     )
@@ -341,7 +345,7 @@ def customer_concentration(star: Star) -> DataFrame:
         )
     )
     names = star.customer.select("customer_key", "customer_id", "customer_fname", "customer_lname")
-    customers = lookup_join(per_customer, names, ["customer_key"])
+    customers = lookup_join(per_customer, names, ["customer_key"], rows_unique=True)
     ranked = global_cumulative(
         customers, "total_profit", _best_customers_first(), "profit_rank",
         running="cumulative_profit", total="company_profit", rows="total_customers",
@@ -377,7 +381,7 @@ def service_by_customer_value(star: Star) -> DataFrame:
     )
     ids = star.customer.select("customer_key", "customer_id")
     valued = global_ntile(
-        lookup_join(per_customer, ids, ["customer_key"]),
+        lookup_join(per_customer, ids, ["customer_key"], rows_unique=True),
         len(VALUE_GROUPS),
         _best_customers_first(),
         "value_quintile",

@@ -74,3 +74,34 @@ def test_dimensions_below_the_limit_are_broadcast(spark, tmp_path):
     rows = spark.range(1000).select(F.col("id").alias("k"))
     plan = joins.lookup_join(rows, dimension, ["k"])._jdf.queryExecution().executedPlan().toString()
     assert "BroadcastHashJoin" in plan and "SortMergeJoin" not in plan
+
+
+def test_hot_keys_are_not_looked_for_in_computed_rows(spark, tmp_path, monkeypatch):
+    """No report and no build runs an aggregate or a join twice to look for hot keys."""
+    from cargolens.plans import analyses, order_items
+    from cargolens.registry import queries as registry
+
+    seen = []
+    real = joins.hot_keys
+
+    def spied(rows, key_hash):
+        seen.append(rows._jdf.queryExecution().optimizedPlan().toString())
+        return real(rows, key_hash)
+
+    folder = "/root/testdata/sf0.001"
+    star = registry.star(spark, folder)
+    monkeypatch.setattr(joins, "hot_keys", spied)
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        for report in (
+            analyses.executive_kpis, lambda s: analyses.monthly_coverage(s, *registry.COVERAGE_PERIOD),
+            analyses.category_losses, analyses.worst_products, analyses.loss_concentration,
+            analyses.service_by_customer_value, analyses.customer_concentration,
+        ):
+            report(star)
+        from cargolens.workspace import Workspace
+
+        order_items.typed_items(spark, folder, Workspace(spark, str(tmp_path)))
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    assert seen and not [plan for plan in seen if "Aggregate" in plan or "Join" in plan]
