@@ -7,7 +7,8 @@ from pyspark.sql import Column, functions as F
 
 def date_key(moment: Column) -> Column:
     """``YYYYMMDD`` as an integer."""
-    return F.date_format(F.to_date(moment), "yyyyMMdd").cast("int")
+    day = F.to_date(moment)
+    return F.year(day) * 10_000 + F.month(day) * 100 + F.dayofmonth(day)
 
 
 def calendar_columns(day: Column) -> list[Column]:

@@ -1,11 +1,13 @@
-"""Exact ratios, averages and bands.  All arithmetic is decimal."""
+"""Exact ratios, averages and bands.  All arithmetic is decimal or whole-number."""
 
 from __future__ import annotations
 
+from decimal import Decimal
+
 from pyspark.sql import Column, functions as F
 
-_TOTAL = "decimal(22,2)"
-_REPORTED = "decimal(18,2)"
+# Any 64-bit number of hundredths.
+_REPORTED = "decimal(21,2)"
 
 # Upper ends (inclusive) and labels of the discount bands.
 DISCOUNT_BANDS = [
@@ -19,9 +21,17 @@ NO_DISCOUNT, DEEPEST_DISCOUNT = "0%", "25%+"
 
 
 def ratio(numerator: Column, denominator: Column, factor: int = 1) -> Column:
-    """``numerator * factor / denominator`` to two places, NULL for a zero base."""
-    base = F.nullif(denominator.cast(_TOTAL), F.lit(0).cast(_TOTAL))
-    return F.round(numerator.cast(_TOTAL) * F.lit(factor) / base, 2).cast(_REPORTED)
+    """``numerator * factor / denominator`` to two places, NULL for a zero base.
+
+    Both are decimals of any scale, or whole numbers.  The quotient is rounded once,
+    half away from zero, as a whole number of hundredths: a decimal quotient would be
+    rounded to its type first and then again.
+    """
+    above, base = F.abs(numerator), F.abs(F.nullif(denominator, F.lit(0)))
+    doubled = above * F.lit(Decimal(200 * factor)) + base
+    hundredths = F.call_function("div", doubled, base * F.lit(Decimal(2)))
+    signed = F.when((numerator < 0) != (denominator < 0), -hundredths).otherwise(hundredths)
+    return (signed * F.lit(Decimal("0.01"))).cast(_REPORTED)
 
 
 def ratio_pct(part: Column, whole: Column) -> Column:
@@ -29,13 +39,13 @@ def ratio_pct(part: Column, whole: Column) -> Column:
 
 
 def money(total: Column) -> Column:
-    return F.round(total, 2).cast(_REPORTED)
+    """Two places, with as many whole digits as the total's type has."""
+    return F.round(total, 2)
 
 
 def mean(total: Column, count: Column) -> Column:
-    """Mean of whole numbers from their sum and count, to two places."""
-    base = F.nullif(count.cast("decimal(15,0)"), F.lit(0).cast("decimal(15,0)"))
-    return F.round(total.cast("decimal(22,0)") / base, 2).cast(_REPORTED)
+    """Mean from a sum and a count, to two places."""
+    return ratio(total, count)
 
 
 def discount_band(rate: Column) -> Column:
