@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from cargolens.schemas import BRONZE
 
@@ -11,11 +11,29 @@ from cargolens.schemas import BRONZE
 _NO_SUCH_TEXT = "\u0001NULL"
 
 
-def _allow_charset(spark: SparkSession, encoding: str) -> None:
-    """Spark reads Windows code pages only with this setting, which must still
-    be on when the lazy read runs."""
-    if encoding.lower() not in ("utf-8", "utf8", "us-ascii", "iso-8859-1", "utf-16", "utf-32"):
-        spark.conf.set("spark.sql.legacy.javaCharsets", "true")
+# Spark reads and writes Windows code pages only under a session-wide legacy setting.
+# Windows-1252 differs from ISO-8859-1 in the 32 codes from 0x80 alone, so those are
+# exchanged and no setting is touched.  Codes without a character read as U+FFFD.
+_CODES = bytes(range(0x80, 0xA0))
+_AS_LATIN_1 = _CODES.decode("iso-8859-1")
+_AS_WINDOWS = _CODES.decode("windows-1252", "replace")
+
+
+def _native(encoding: str) -> tuple[str, bool]:
+    """An encoding that Spark knows, and whether the 32 codes are to be exchanged."""
+    windows = encoding.lower().replace("_", "-") in ("windows-1252", "cp1252")
+    return ("iso-8859-1", True) if windows else (encoding, False)
+
+
+def _exchanged(df: DataFrame, this: str, that: str) -> DataFrame:
+    """Every column with the characters of ``this`` as those of ``that``."""
+    affected = f"[{this}]"
+    return df.select(
+        *[
+            F.when(F.col(c).rlike(affected), F.translate(c, this, that)).otherwise(F.col(c)).alias(c)
+            for c in df.columns
+        ]
+    )
 
 
 def read_export(
@@ -26,11 +44,12 @@ def read_export(
 ) -> DataFrame:
     """53 text columns by position; a record with another field count fails.
 
-    Files are split across tasks.  Exports with line breaks inside quotes need
+    It fails whatever columns are used and when rows are only counted, as every field is
+    split off for every read.  Files are split across tasks.  Exports with line breaks inside quotes need
     ``multiline=True``, which reads each file in one task.
     """
-    _allow_charset(spark, encoding)
-    return (
+    encoding, exchange = _native(encoding)
+    rows = (
         spark.read.schema(BRONZE)
         .option("header", True)
         .option("encoding", encoding)
@@ -39,16 +58,23 @@ def read_export(
         .option("emptyValue", "")
         .option("multiLine", multiline)
         .option("mode", "FAILFAST")
+        .option("columnPruning", False)
         .csv(path)
     )
+    return _exchanged(rows, _AS_LATIN_1, _AS_WINDOWS) if exchange else rows
 
 
 def write_export(df: DataFrame, path: str, encoding: str = "windows-1252") -> None:
     """The same dialect, for handing raw rows on."""
-    _allow_charset(df.sparkSession, encoding)
+    encoding, exchange = _native(encoding)
+    rows = df.select(*BRONZE.names)
+    if exchange:
+        known = [(w, c) for w, c in zip(_AS_WINDOWS, _AS_LATIN_1) if w != "\ufffd"]
+        # A character that only ISO-8859-1 has reads back as another one, so it is lost here.
+        rows = _exchanged(rows, _AS_LATIN_1, "?" * len(_AS_LATIN_1))
+        rows = _exchanged(rows, "".join(w for w, _ in known), "".join(c for _, c in known))
     (
-        df.select(*BRONZE.names)
-        .write.option("header", True)
+        rows.write.option("header", True)
         .option("encoding", encoding)
         .option("escape", '"')
         .option("nullValue", "")

@@ -49,6 +49,28 @@ def test_wrong_field_count_fails(spark, tmp_path):
         read_export(spark, path).collect()
 
 
+@pytest.mark.parametrize("given", [["1"] * 55, ["only", "three", "fields"]], ids=["long", "short"])
+@pytest.mark.parametrize("use", [lambda d: d.count(), lambda d: d.select("sales", "market").collect()], ids=["count", "pruned"])
+def test_wrong_field_count_fails_however_little_is_read(spark, tmp_path, given, use):
+    path = str(tmp_path / "export.csv")
+    write_file(path, fields(), [fields(order_item_id="1"), ",".join(given)])
+    with pytest.raises(Exception):
+        use(read_export(spark, path))
+
+
+def test_all_windows_characters_without_a_session_setting(spark, tmp_path):
+    before = spark.conf.get("spark.sql.legacy.javaCharsets")
+    path = str(tmp_path / "export.csv")
+    text = bytes(c for c in range(0x21, 0x100) if c not in b'",' and c not in (0x81, 0x8D, 0x8F, 0x90, 0x9D)).decode("cp1252")
+    write_file(path, fields(), [fields(order_city=text)])
+    rows = read_export(spark, path)
+    assert [r["order_city"] for r in rows.collect()] == [text]
+    write_export(rows, str(tmp_path / "again"))
+    (part,) = (tmp_path / "again").glob("part-*.csv")
+    assert text.encode("cp1252") in part.read_bytes()
+    assert spark.conf.get("spark.sql.legacy.javaCharsets") == before
+
+
 def test_round_trip(spark, tmp_path):
     rows = raw_frame(
         spark, raw(order_city=" Café €", customer_zipcode="", product_name='say "hi", twice'), raw(order_item_id="2")
