@@ -2,7 +2,8 @@
 
 from __future__ import annotations
 
-from collections.abc import Mapping, Sequence
+from collections.abc import Callable, Mapping, Sequence
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, functions as F
 
@@ -13,8 +14,18 @@ from cargolens.functions.text import concat_skip_nulls, has_outer_spaces
 _EXACT_MEAN = "decimal(38,6)"
 
 
+# Columns of a table that are aggregated together.  A column file is read once whatever
+# the group, and the generated code of so few stays small enough for the JVM to compile.
+_TOGETHER = 10
+
+
+def _in_groups(columns: Sequence[str], build: Callable[[Sequence[str]], DataFrame]) -> DataFrame:
+    groups = [columns[i : i + _TOGETHER] for i in range(0, len(columns), _TOGETHER)]
+    return reduce(DataFrame.unionByName, map(build, groups))
+
+
 def _by_column(df: DataFrame, columns: Sequence[str], measures) -> DataFrame:
-    """Aggregate every column in one pass, then give each its own row.
+    """Aggregate these columns in one pass, then give each its own row.
 
     ``measures(name)`` maps output names to aggregates of one column.
     """
@@ -49,7 +60,11 @@ def column_mismatch(df: DataFrame, left: Column, right: Column, name: str) -> Da
 
 
 def null_profile(df: DataFrame, columns: Sequence[str]) -> DataFrame:
-    """NULL counts of many columns in one pass, one output row per column."""
+    """NULL counts of many columns, each read once, one output row per column."""
+    return _in_groups(columns, lambda group: _null_profile(df, group))
+
+
+def _null_profile(df: DataFrame, columns: Sequence[str]) -> DataFrame:
     counts = df.agg(
         F.count("*").alias("total_rows"),
         *[F.count(name).alias(f"present_{i}") for i, name in enumerate(columns)],
@@ -80,7 +95,7 @@ def constant_columns(df: DataFrame, columns: Sequence[str]) -> DataFrame:
             "is_constant": F.coalesce(F.min(name) == F.max(name), F.lit(True)),
         }
 
-    return _by_column(df, columns, measures)
+    return _in_groups(columns, lambda group: _by_column(df, group, measures))
 
 
 def value_frequency(df: DataFrame, column: str, by_value: bool = False) -> DataFrame:
@@ -148,7 +163,7 @@ def numeric_range(df: DataFrame, column: str, lowest: str, highest: str, mean: s
 
 
 def numeric_profile(df: DataFrame, columns: Sequence[str]) -> DataFrame:
-    """Ranges of many columns in one pass, one output row per column."""
+    """Ranges of many columns, each read once, one output row per column."""
 
     def measures(name: str) -> Mapping[str, Column]:
         value = numeric(name)
@@ -158,7 +173,7 @@ def numeric_profile(df: DataFrame, columns: Sequence[str]) -> DataFrame:
             "mean": (F.sum(value) / F.count(value)).cast(_EXACT_MEAN),
         }
 
-    return _by_column(df, columns, measures)
+    return _in_groups(columns, lambda group: _by_column(df, group, measures))
 
 
 def predicate_counts(df: DataFrame, **predicates: Column) -> DataFrame:
