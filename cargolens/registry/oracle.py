@@ -370,7 +370,25 @@ def _cleaning() -> dict[str, str]:
         for name, rules in CLEANING_SUBSETS.items()
     }
     found["s_clean"] = _on_silver(f"select {_columns(names, _DECIMALS)} from silver")
-    found["s12_excluded_columns"] = _on_raw(
+    found["s12_excluded_columns"] = _on_typed(
+        " union all ".join(
+            f"select count(*) as rows, '{c}' as column_name, false as is_written from typed"
+            for c in S.EXCLUDED_COLUMNS
+        )
+    )
+    kinds = {rule.target: rule.data_type.simpleString() for rule in C.RULES}
+    found["io6_written_columns"] = _on_typed(
+        " union all ".join(
+            f"select '{n}' as column_name, '{i} {kinds[n]}' as place, count({n}) as non_null_rows from typed"
+            for i, n in enumerate(names, start=1)
+        )
+    )
+    exact = [n for n in names if kinds[n].startswith("decimal")]
+    found["s_exact_decimals"] = _on_typed(
+        "select order_item_id, "
+        + ", ".join(f"cast(cast({n} as {kinds[n]}) as varchar) as {n}" for n in exact) + " from typed"
+    )
+    found["s12_excluded_in_bronze"] = _on_raw(
         " union all ".join(
             f"select '{c}' as column_name, {_null_profile(c)} from raw" for c in S.EXCLUDED_COLUMNS
         )
@@ -732,7 +750,7 @@ def _primitives() -> dict[str, str]:
         ),
         "p09_schedule_variance": _on_typed(
             f"select order_status, count(*) as total_orders, {_avg('variance')} as avg_variance_days, "
-            f"{_avg('variance', chr(39).join(['delivery_status <> ', 'Shipping Canceled', '']))} "
+            f"""{_avg('variance', "delivery_status <> 'Shipping Canceled'")} """
             f"as avg_kept_variance_days from {per_profile} group by order_status"
         ),
         "p10_severity": _on_typed(
@@ -749,4 +767,6 @@ def _primitives() -> dict[str, str]:
 
 
 def oracle_sql() -> dict[str, str]:
-    return {**_profiles(), **_cleaning(), **_model(), **_analyses(), **_primitives()}
+    from cargolens.registry import defects
+
+    return {**defects.oracle_sql(), **_profiles(), **_cleaning(), **_model(), **_analyses(), **_primitives()}

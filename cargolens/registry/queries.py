@@ -25,7 +25,7 @@ from cargolens.operators.rollups import (
 )
 from cargolens.plans import analyses as A, quality as Q, silver as C, star as G
 from cargolens.plans.order_items import raw_export, typed_items
-from cargolens.plans.warehouse import Warehouse
+from cargolens.plans.warehouse import CLEAN, Warehouse
 from cargolens.sources.csv_export import read_export, write_export
 from cargolens.workspace import Workspace, shared_root
 
@@ -104,6 +104,10 @@ def _on(source, build) -> Query:
     return lambda spark, folder: comparable(build(source(spark, folder)))
 
 
+def _on_exact(source, build) -> Query:
+    return lambda spark, folder: build(source(spark, folder))
+
+
 def _item_id() -> list:
     return [F.expr("try_cast(trim(order_item_id) as bigint)").asc_nulls_last()]
 
@@ -258,9 +262,41 @@ def _cleaning() -> dict[str, Query]:
             "bronze_rows", kept.scalar().alias("silver_rows")
         )
 
+    def written(spark: SparkSession, folder: str) -> DataFrame:
+        """The cleaned table as its files have it, not as it is declared."""
+        warehouse = _warehouse(spark, folder, "bronze", "silver")
+        return spark.read.parquet(warehouse.silver_layer.path(CLEAN))
+
+    def excluded(spark: SparkSession, folder: str) -> DataFrame:
+        """Which of the excluded columns the written table holds, beside its rows."""
+        table = written(spark, folder)
+        names = F.array(*[
+            F.struct(F.lit(c).alias("column_name"), F.lit(c in table.columns).alias("is_written"))
+            for c in S.EXCLUDED_COLUMNS
+        ])
+        return table.agg(F.count("*").alias("rows")).select("rows", F.inline(names))
+
+    def written_columns(spark: SparkSession, folder: str) -> DataFrame:
+        """Place, name, type and number of values of each written column."""
+        table = written(spark, folder)
+        places = F.create_map(*[
+            F.lit(x) for i, f in enumerate(table.schema, start=1)
+            for x in (f.name, f"{i} {f.dataType.simpleString()}")
+        ])
+        counts = P.null_profile(table, table.columns)
+        return counts.select("column_name", places[F.col("column_name")].alias("place"), "non_null_rows")
+
+    def exact_decimals(d: DataFrame) -> DataFrame:
+        """Every decimal as text, so that types and digits are compared."""
+        exact = [f.name for f in d.schema if isinstance(f.dataType, T.DecimalType)]
+        return d.select("order_item_id", *[F.col(c).cast("string").alias(c) for c in exact])
+
     found = {name: _on(bronze, subset(rules)) for name, rules in CLEANING_SUBSETS.items()}
     found["s_clean"] = _on(bronze, C.clean)
-    found["s12_excluded_columns"] = _on(bronze, lambda d: P.null_profile(d, S.EXCLUDED_COLUMNS))
+    found["s12_excluded_in_bronze"] = _on(bronze, lambda d: P.null_profile(d, S.EXCLUDED_COLUMNS))
+    found["s12_excluded_columns"] = excluded
+    found["io6_written_columns"] = written_columns
+    found["s_exact_decimals"] = _on_exact(silver, exact_decimals)
     found["s13_row_preservation"] = preserved
     return found
 
@@ -481,6 +517,8 @@ def _files() -> dict[str, Query]:
 
 
 def queries() -> dict[str, Query]:
+    from cargolens.registry import defects
+
     return {
-        **_profiles(), **_cleaning(), **_model(), **_analyses(), **_primitives(), **_files(),
+        **defects.queries(), **_profiles(), **_cleaning(), **_model(), **_analyses(), **_primitives(), **_files(),
     }

@@ -19,6 +19,14 @@ def database():
     return connect(FOLDER)
 
 
+@pytest.fixture(scope="module", autouse=True)
+def as_in_production(spark):
+    """Whole stages compiled, which the session of the other tests leaves out."""
+    spark.conf.set("spark.sql.codegen.wholeStage", "true")
+    yield
+    spark.conf.set("spark.sql.codegen.wholeStage", "false")
+
+
 @pytest.mark.parametrize("name", sorted(oracle_sql()))
 def test_same_result_as_sql(spark, database, name):
     assert difference(queries()[name](spark, FOLDER), database, oracle_sql()[name]) is None
