@@ -47,9 +47,10 @@ def _with_profile(star: Star, *attributes: str) -> DataFrame:
     )
 
 
-def _kept(summary: DataFrame) -> DataFrame:
+def _kept(star: Star, summary: DataFrame) -> DataFrame:
     """Write a small summary that is read more than once, so the fact is read once."""
-    return Workspace(summary.sparkSession).materialize(summary, "summary")
+    workspace = star.workspace or Workspace(summary.sparkSession)
+    return workspace.materialize(summary, "summary")
 
 
 def _losses_by(star: Star, *attributes: str) -> DataFrame:
@@ -99,7 +100,7 @@ def executive_kpis(star: Star, top_products: int = 8) -> DataFrame:
         money(F.abs(F.sum("lost"))).alias("total_negative_profit"),
         ratio_pct(F.sum("is_late"), total_orders).alias("late_delivery_rate_pct"),
     )
-    losses = _kept(product_losses(star).withColumn("loss", F.abs("negative_profit")))
+    losses = _kept(star, product_losses(star).withColumn("loss", F.abs("negative_profit")))
     share = f"top_{top_products}_negative_profit_share_pct"
     combined = one_row([headline, top_k_share(losses, "loss", top_products, _loss_order(), share)])
     *before, late = headline.columns
@@ -208,7 +209,7 @@ def worst_products(star: Star, least_items: int = 200, top: int = 20) -> DataFra
 def loss_concentration(star: Star) -> DataFrame:
     """Loss-making products by rank, with single and cumulative shares."""
     losses = product_losses(star).withColumn("loss", F.abs("negative_profit"))
-    ranked = global_cumulative(losses, "loss", _loss_order(), "loss_rank")
+    ranked = global_cumulative(losses, "loss", _loss_order(), "loss_rank", workspace=star.workspace)
     return ranked.select(
         "loss_rank",
         "product_name",
@@ -269,7 +270,7 @@ def delivery_outcomes(star: Star) -> DataFrame:
         *mean_parts(schedule_variance(), "variance"),
     )
     shared = share_of_total(
-        _kept(outcomes), {"total_orders": "order_share_pct", "sales": "sales_share_pct"}
+        _kept(star, outcomes), {"total_orders": "order_share_pct", "sales": "sales_share_pct"}
     )
     return shared.select(
         "delivery_status",
@@ -349,6 +350,7 @@ def customer_concentration(star: Star) -> DataFrame:
     ranked = global_cumulative(
         customers, "total_profit", _best_customers_first(), "profit_rank",
         running="cumulative_profit", total="company_profit", rows="total_customers",
+        workspace=star.workspace,
     )
     return ranked.select(
         "profit_rank",
@@ -385,6 +387,7 @@ def service_by_customer_value(star: Star) -> DataFrame:
         len(VALUE_GROUPS),
         _best_customers_first(),
         "value_quintile",
+        workspace=star.workspace,
     )
     label = F.element_at(F.array(*[F.lit(name) for name in VALUE_GROUPS]), F.col("value_quintile"))
     return (

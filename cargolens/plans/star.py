@@ -41,7 +41,7 @@ DIMENSIONS = [CUSTOMER, PRODUCT, DESTINATION, PROFILE]
 
 @dataclass(frozen=True)
 class Star:
-    """The written gold tables."""
+    """The written gold tables, and where reports on them may stage rows."""
 
     fact: DataFrame
     customer: DataFrame
@@ -49,6 +49,7 @@ class Star:
     destination: DataFrame
     profile: DataFrame
     date: DataFrame
+    workspace: Workspace | None = None
 
     def dimension(self, spec: Dimension) -> DataFrame:
         return {

@@ -50,6 +50,7 @@ class Warehouse:
             self.gold_layer.read(FACT, S.FACT),
             *[self.gold_layer.read(spec.table, spec.schema) for spec in model.DIMENSIONS],
             self.gold_layer.read(DATE, S.CALENDAR),
+            self.workspace,
         )
 
     def load_bronze(self, raw: DataFrame) -> DataFrame:

@@ -96,6 +96,24 @@ def test_blank_date_blocks_the_fact(spark, tmp_path):
         house.build_gold()
 
 
+def test_reports_stage_below_the_warehouse_and_need_no_setting(spark, tmp_path, monkeypatch):
+    """A warehouse with a root of its own works where no shared folder is set."""
+    from cargolens import workspace
+    from cargolens.plans import analyses
+
+    house = warehouse(spark, tmp_path, raw(order_item_id="1", order_profit_per_order="-10"), raw(order_item_id="2"))
+    house.build_silver()
+    star = house.build_gold()
+
+    def unset(_):
+        raise ValueError("set spark.checkpoint.dir")
+
+    monkeypatch.setattr(workspace, "shared_root", unset)
+    for report in (analyses.executive_kpis, analyses.loss_concentration, analyses.delivery_outcomes,
+                   analyses.customer_concentration, analyses.service_by_customer_value):
+        assert report(star).collect()
+
+
 @pytest.fixture(scope="module")
 def small(spark, tmp_path_factory):
     """Five items in three orders of two customers; one product without a loss."""
