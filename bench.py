@@ -33,8 +33,6 @@ def main() -> None:
         .config("spark.driver.memory", "12g")
         .config("spark.sql.shuffle.partitions", cpus)
         .config("spark.sql.session.timeZone", "UTC")
-        # Wide projections: several compiled methods instead of one the JVM skips.
-        .config("spark.sql.codegen.hugeMethodLimit", "8000")
         # Small local files: let every core have a split.
         .config("spark.sql.files.openCostInBytes", "1m")
         .getOrCreate()
