@@ -3,7 +3,6 @@
 from __future__ import annotations
 
 from concurrent.futures import ThreadPoolExecutor
-from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -17,16 +16,6 @@ from cargolens.workspace import Workspace
 RAW, CLEAN, FACT, DATE = "order_items_raw", "order_items_clean", "fact_order_item", "dim_date"
 
 
-@contextmanager
-def _withdrawn_on_violation(layer: Layer, table: str):
-    """Delete the written table if a check on it fails."""
-    try:
-        yield
-    except checks.ConstraintViolation:
-        layer.drop(table)
-        raise
-
-
 class Warehouse:
     """Three layers of Parquet tables below one shared folder."""
 
@@ -58,19 +47,15 @@ class Warehouse:
         return self.bronze_layer.load_once(raw, RAW, S.BRONZE)
 
     def build_silver(self) -> DataFrame:
-        """Clean every raw row; a table that breaks a constraint is withdrawn."""
-        with wide_rows(self.workspace.spark):
-            silver = self.silver_layer.refresh(clean(self.bronze), CLEAN, SILVER)
-        with _withdrawn_on_violation(self.silver_layer, CLEAN):
+        """Clean every raw row; a table that breaks a constraint is not published."""
+        with self.silver_layer.replaced():
+            with wide_rows(self.workspace.spark):
+                silver = self.silver_layer.refresh(clean(self.bronze), CLEAN, SILVER)
             checks.enforce(quality.silver_violations(silver), CLEAN)
-        return silver
+        return self.silver
 
     def build_gold(self) -> model.Star:
-        """Dimensions first, then the fact, which exists only once all checks pass.
-
-        An earlier fact goes first: it refers to the dimensions being replaced.
-        """
-        self.gold_layer.drop(FACT)
+        """Dimensions, then the fact; all are published together once every check passed."""
         silver = self.silver
         build = Workspace(self.workspace.spark, f"{self.workspace.root}/build")
 
@@ -78,25 +63,23 @@ class Warehouse:
             rows = model.build_dimension(silver, spec, build)
             return self.gold_layer.refresh(rows, spec.table, spec.schema)
 
-        tables = [spec.table for spec in model.DIMENSIONS]
-        # Independent jobs: submitted together, the cluster interleaves them.
-        with ThreadPoolExecutor(len(model.DIMENSIONS) + 1) as pool:
-            calendar = pool.submit(
-                lambda: self.gold_layer.refresh(model.build_calendar(silver), DATE, S.CALENDAR)
-            )
-            written = dict(zip(tables, pool.map(dimension, model.DIMENSIONS)))
-            date = calendar.result()
-        checked = [(spec, written[spec.table]) for spec in model.DIMENSIONS]
-        checks.enforce(quality.model_violations(checked, date), "gold")
-
-        fact = model.build_fact(silver, *[written[spec.table] for spec in model.DIMENSIONS])
-        # Sorted files keep the date statistics of their row groups narrow.
-        fact = fact.sortWithinPartitions("order_date_key")
-        loaded = self.gold_layer.refresh(fact, FACT, S.FACT)
-        with _withdrawn_on_violation(self.gold_layer, FACT):
+        with self.gold_layer.replaced():
+            # Independent jobs: submitted together, the cluster interleaves them.
+            with ThreadPoolExecutor(len(model.DIMENSIONS) + 1) as pool:
+                calendar = pool.submit(
+                    lambda: self.gold_layer.refresh(model.build_calendar(silver), DATE, S.CALENDAR)
+                )
+                written = list(pool.map(dimension, model.DIMENSIONS))
+                date = calendar.result()
+            checks.enforce(quality.model_violations(list(zip(model.DIMENSIONS, written)), date), "gold")
+
+            fact = model.build_fact(silver, *written)
+            # Sorted files keep the date statistics of their row groups narrow.
+            fact = fact.sortWithinPartitions("order_date_key")
+            loaded = self.gold_layer.refresh(fact, FACT, S.FACT)
             # Uniqueness of the fact is one of the release conditions.
             checks.enforce(quality.fact_nulls(loaded), FACT)
-            checks.release(quality.release_checks(silver, self.star))
+            checks.release(quality.release_checks(silver, model.Star(loaded, *written, date, self.workspace)))
         build.discard()
         return self.star
 

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import time
 from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession, types as T
@@ -26,17 +27,40 @@ def wide_rows(spark: SparkSession):
 
 
 class Layer:
-    """One namespace of tables below a root folder."""
+    """One namespace of tables below a root folder.
+
+    An import writes its table once.  A refresh replaces the layer's tables together:
+    they go to a new version folder, and readers see the version published before until
+    every check has passed and the new one is published by one small file.  A failed
+    refresh leaves no trace.  The version before the published one stays, for readers
+    that are still at it.
+    """
 
     def __init__(self, spark: SparkSession, root: str, name: str):
         self.spark, self.name = spark, name
         self.folder = f"{root.rstrip('/')}/{name}"
+        self._next: str | None = None
+
+    def _path(self, folder: str):
+        path = self.spark._jvm.org.apache.hadoop.fs.Path(folder)
+        return path.getFileSystem(self.spark._jsc.hadoopConfiguration()), path
+
+    def versions(self) -> list[str]:
+        """Published versions, the current one last."""
+        system, path = self._path(f"{self.folder}/_published")
+        if not system.exists(path):
+            return []
+        return sorted(f.getPath().getName() for f in system.listStatus(path))
 
     def path(self, table: str) -> str:
-        return f"{self.folder}/{table}"
+        current = self.versions()[-1:]
+        return "/".join([self.folder, *current, table])
+
+    def _at(self, path: str, schema: T.StructType) -> DataFrame:
+        return self.spark.read.schema(schema).parquet(path)
 
     def read(self, table: str, schema: T.StructType) -> DataFrame:
-        return self.spark.read.schema(schema).parquet(self.path(table))
+        return self._at(self.path(table), schema)
 
     def load_once(self, df: DataFrame, table: str, schema: T.StructType) -> DataFrame:
         """Fail if the table is already filled: an import must not be repeated."""
@@ -44,17 +68,34 @@ class Layer:
             df.select(*schema.names).write.mode("errorifexists").parquet(self.path(table))
         return self.read(table, schema)
 
+    @contextmanager
+    def replaced(self):
+        """Tables refreshed inside are published together at the end, or not at all."""
+        self._next = f"v{time.time_ns():020d}"
+        try:
+            yield
+            system, marker = self._path(f"{self.folder}/_published/{self._next}")
+            system.create(marker).close()
+        except BaseException:
+            delete_folder(self.spark, f"{self.folder}/{self._next}")
+            raise
+        finally:
+            self._next = None
+        for old in self.versions()[:-2]:
+            delete_folder(self.spark, f"{self.folder}/_published/{old}")
+            delete_folder(self.spark, f"{self.folder}/{old}")
+
     def refresh(self, df: DataFrame, table: str, schema: T.StructType) -> DataFrame:
-        """Replace the table, writing exactly the target columns in order."""
+        """Write exactly the target columns in order into the version in the making."""
+        if not self._next:
+            raise ValueError("a table is refreshed inside replaced()")
         found = {field.name: field.dataType for field in df.schema.fields}
         for field in schema.fields:
             if found[field.name] != field.dataType:
                 raise TypeError(f"{table}.{field.name}: {found[field.name]} is not {field.dataType}")
-        df.select(*schema.names).write.mode("overwrite").parquet(self.path(table))
-        return self.read(table, schema)
-
-    def drop(self, table: str) -> None:
-        delete_folder(self.spark, self.path(table))
+        path = f"{self.folder}/{self._next}/{table}"
+        df.select(*schema.names).write.parquet(path)
+        return self._at(path, schema)
 
     def register_view(self, table: str, schema: T.StructType) -> str:
         """A temporary view named after layer and table, e.g. ``gold_dim_date``."""

@@ -77,6 +77,31 @@ def test_two_versions_of_a_customer_block_gold(spark, tmp_path):
         house.build_gold()
 
 
+def test_a_failed_refresh_leaves_the_last_release(spark, tmp_path):
+    house = warehouse(spark, tmp_path, raw(order_item_id="1"))
+    house.build_silver()
+    house.build_gold()
+    # Later raw rows: first an item twice, then an item without a date.
+    for later, error in ((raw(order_item_id="1"), "unique"), (raw(order_item_id="2", shipping_date=""), "shipping")):
+        both = raw_frame(spark, raw(order_item_id="1"), later)
+        both.select(*S.BRONZE.names).write.mode("overwrite").parquet(house.bronze_layer.path("order_items_raw"))
+        with pytest.raises(ConstraintViolation, match=error):
+            house.build_silver()
+            house.build_gold()
+        assert [r["order_item_id"] for r in house.star.fact.collect()] == [1]
+        assert house.star.date.count() > 0
+    assert house.silver.count() == 2 and len(house.gold_layer.versions()) == 1
+    # A good refresh replaces both layers, and the version before last goes.
+    raw_frame(spark, raw(order_item_id="5")).write.mode("overwrite").parquet(house.bronze_layer.path("order_items_raw"))
+    for _ in range(3):
+        house.build_silver()
+        house.build_gold()
+    assert [r["order_item_id"] for r in house.star.fact.collect()] == [5]
+    assert len(house.gold_layer.versions()) == 2 == len(house.silver_layer.versions())
+    house.register_views()
+    assert spark.table("gold_fact_order_item").count() == 1
+
+
 def test_null_destination_part_blocks_the_release(spark, tmp_path):
     house = warehouse(spark, tmp_path, raw(order_item_id="1"), raw(order_item_id="2", order_state=None))
     house.build_silver()
@@ -84,7 +109,7 @@ def test_null_destination_part_blocks_the_release(spark, tmp_path):
         house.build_gold()
     with pytest.raises(Exception, match="PATH_NOT_FOUND"):  # no fact is released
         house.star.fact.count()
-    destination = house.gold_layer.read(model.DESTINATION.table, model.DESTINATION.schema)
+    destination = model.build_dimension(house.silver, model.DESTINATION, house.workspace)
     lost = model.unloadable_keys(house.silver, destination, model.DESTINATION)
     assert [(r["order_state"], r["row_count"]) for r in lost.collect()] == [(None, 1)]
 
