@@ -32,27 +32,43 @@ def let(value: Column, body: Callable[[Column], Column]) -> Column:
     return F.transform(F.array(value), body)[0]
 
 
+# Shuffle files of a query are deleted when it ends, and not when the driver's memory
+# happens to be collected.
+_RELEASE = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+
+
 class Scratch:
-    """Intermediate tables in the shared folder; each is written once and can be dropped."""
+    """Intermediate tables in the shared folder; each is written once and can be dropped.
+
+    A written table needs its shuffle files no more, so they go with the write; what
+    several steps leave on the disks is then their tables.
+    """
 
     def __init__(self, spark: SparkSession):
         self.spark = spark
         self._workspace = Workspace(spark)
-        self._paths: dict[int, str] = {}
+        self._paths: dict[int, tuple[DataFrame, str]] = {}
 
     def table(self, df: DataFrame, name: str) -> DataFrame:
         path = self._workspace.fresh_path(name)
-        df.write.parquet(path)
+        before = self.spark.conf.get(_RELEASE, None)
+        self.spark.conf.set(_RELEASE, "true")
+        try:
+            df.write.parquet(path)
+        finally:
+            if before is None:
+                self.spark.conf.unset(_RELEASE)
+            else:
+                self.spark.conf.set(_RELEASE, before)
         written = self.spark.read.schema(df.schema).parquet(path)
-        self._paths[id(written)] = path
-        self._kept = [*getattr(self, "_kept", []), written]  # keeps id() unique
+        self._paths[id(written)] = written, path  # the table is kept, so its id stays its own
         return written
 
     def drop(self, *tables: DataFrame) -> None:
         """Delete written tables that nothing refers to any more."""
         for table in tables:
-            if path := self._paths.pop(id(table), None):
-                delete_folder(self.spark, path)
+            if kept := self._paths.pop(id(table), None):
+                delete_folder(self.spark, kept[1])
 
 
 def dense_slots(

@@ -105,7 +105,8 @@ def chunks(docs: DataFrame) -> DataFrame:
 
 def repeated_chunks(docs: DataFrame) -> DataFrame:
     """doc_id, content and ``found``: (at, size) of chunks that occur earlier elsewhere."""
-    cut = Scratch(docs.sparkSession).table(chunks(docs), "chunks")
+    scratch = Scratch(docs.sparkSession)
+    cut = scratch.table(chunks(docs), "chunks")
     each = cut.select(
         "doc_id", "content", F.explode(F.arrays_zip("starts", "sizes", "digests")).alias("c")
     ).select(
@@ -114,11 +115,17 @@ def repeated_chunks(docs: DataFrame) -> DataFrame:
     )
     place = F.struct("doc_id", "content", "at")
     known = each.groupBy("digest").agg(F.min(place).alias("first"), F.count("*").alias("times"))
-    known = known.where("times > 1").select("digest", "first")
+    # Written, so that the shuffles of the counts and of the join do not add up on the disks.
+    known = scratch.table(known.where("times > 1").select("digest", "first"), "known")
     later = each.join(known, "digest").where(~place.eqNullSafe(F.col("first")))
-    return later.groupBy("doc_id", "content").agg(
-        F.sort_array(F.collect_set(F.struct("at", "size"))).alias("found")
+    found = scratch.table(
+        later.groupBy("doc_id", "content").agg(
+            F.sort_array(F.collect_set(F.struct("at", "size"))).alias("found")
+        ),
+        "found",
     )
+    scratch.drop(cut, known)
+    return found
 
 
 def _spans(found) -> list[tuple[int, int]]:
