@@ -260,8 +260,9 @@ def repeated_spans(docs: DataFrame, scratch: Scratch) -> DataFrame:
     """doc_id, content, spans: sorted, disjoint (start, end) byte ranges to remove."""
     runs = scratch.table(_runs(docs), "runs")
     shared = runs.groupBy("f").agg(F.sum("anchors").alias("n")).where("n > 1").select("f")
+    shared = scratch.table(shared, "shared")
     flagged = scratch.table(runs.join(shared, "f"), "flagged")
-    scratch.drop(runs)
+    scratch.drop(runs, shared)
 
     one = F.struct("doc_id", "content", "at", "windows", "offset")
     contents = flagged.groupBy("f", "h").agg(
@@ -313,7 +314,9 @@ def repeated_spans(docs: DataFrame, scratch: Scratch) -> DataFrame:
             ),
         ).otherwise(F.concat(done, F.array(x))),
     )
-    return grouped.select("doc_id", "content", merged.alias("spans"))
+    spans = scratch.table(grouped.select("doc_id", "content", merged.alias("spans")), "spans")
+    scratch.drop(flagged, contents, sorted_)
+    return spans
 
 
 def remove_repeated(docs: DataFrame, digests: bool = False) -> DataFrame:
@@ -324,7 +327,7 @@ def remove_repeated(docs: DataFrame, digests: bool = False) -> DataFrame:
     scratch = Scratch(docs.sparkSession)
     keyed = docs.select("doc_id", F.coalesce("text", F.lit("")).alias("text"))
     keyed = keyed.withColumn("content", F.xxhash64("text"))
-    spans = scratch.table(repeated_spans(keyed, scratch), "spans")
+    spans = repeated_spans(keyed, scratch)
     spans = spans.withColumnsRenamed({"doc_id": "id", "content": "text_hash"})
 
     @F.pandas_udf(T.BinaryType())
