@@ -2,21 +2,21 @@
 
 1. One pass over the texts gives each document its number of distinct five-word
    shingles, a digest of its word sequence, 32 band keys of four universal-hash minima
-   each, and one byte of each of the 128 minima.  At a similarity of 0.75 a pair
+   each, and one byte of each of 256 minima.  At a similarity of 0.75 a pair
    shares no band with probability (1 - 0.75^4)^32, 5 in a million, and less above.
 2. Documents with one word sequence are one class and go on as one node, their
    smallest doc_id, however many they are.
 3. In each bucket of a band the nodes are compared with a centre, not with each other.
    The centre is the node that meets most others over all bands: of a text and its
-   edited copies that is the text itself.  Pairs are first tested on the minima's
-   bytes (64 of 128 must agree; a pair at 0.75 fails that with a probability below
-   1e-9) and then on the full shingle sets.
-4. Links become components.  A bucket whose remaining nodes are in one component is
-   done: no link inside it can change anything.  In the others the centre is taken
-   away, as it has met all, and a node of the smallest component is the next centre;
-   once few pairs between different components are left (``FEW`` for each member)
-   they are tested all at once.  So no bucket emits all its pairs, and no pair of one
-   bucket and two components stays untested.
+   edited copies that is the text itself.  Pairs whose set sizes rule the similarity out
+   go; the others are tested on the minima's bytes (160 of 256 must agree; a pair at 0.75
+   fails that with a probability of one in a million) and then on the full shingle sets.
+4. Links become components.  A bucket whose nodes are in one component is done: no
+   link inside it can change anything.  In the others the nodes outside the largest
+   component are compared with all of the bucket, byte rows against byte rows in
+   blocks; only pairs that pass come out, and are verified as before.  So a bucket
+   emits no more than its stars and its likely links, and no pair of one bucket and two
+   components stays untested.
 
 Cases: null and empty texts have no shingles and are linked with nothing; a text of
 fewer than five words has its whole sequence as its only shingle; rows of one doc_id
@@ -43,9 +43,9 @@ from cargolens.llm.components import components
 WORDS = 5
 SIMILARITY = 75  # percent
 BANDS, ROWS = 32, 4
-HASHES = BANDS * ROWS
-LEAST_EQUAL = 64  # bytes of the minima that must agree before sets are compared
-FEW = 4
+HASHES = 256  # universal hashes; the first BANDS * ROWS make the bands, all are compared
+LEAST_EQUAL = 160  # bytes of the minima that must agree before sets are compared
+BLOCK = 2048  # nodes of a bucket that are compared with as many at a time
 PER_PIECE = 256  # pairs that one copy of a centre's text serves
 
 _random = np.random.RandomState(20240229)
@@ -82,9 +82,10 @@ def _hashed(found: list[bytes]) -> np.ndarray:
 
 def _minima(shingles: np.ndarray) -> np.ndarray:
     low = np.full(HASHES, np.iinfo(np.uint64).max, np.uint64)
-    for at in range(0, len(shingles), 2048):
-        part = shingles[at : at + 2048]
-        np.minimum(low, (part[:, None] * _FACTORS + _ADDENDS).min(0), out=low)
+    for at in range(0, len(shingles), 256):  # a block that fits a core's cache
+        hashes = shingles[at : at + 256, None] * _FACTORS
+        hashes += _ADDENDS
+        np.minimum(low, hashes.min(0), out=low)
     return low
 
 
@@ -104,11 +105,12 @@ def signatures(docs: DataFrame) -> DataFrame:
                     continue
                 shingles = _hashed(found)
                 low = _minima(shingles)
-                keys = (_mix(low).reshape(BANDS, ROWS) * _BY_ROW).sum(1) + _BY_BAND
+                mixed = _mix(low)
+                keys = (mixed[: BANDS * ROWS].reshape(BANDS, ROWS) * _BY_ROW).sum(1) + _BY_BAND
                 sizes.append(len(shingles))
                 contents.append(hashlib.blake2b(b" ".join(found), digest_size=16).digest())
                 bands.append(_mix(keys).view(np.int64))
-                checks.append((_mix(low) & np.uint64(255)).astype(np.uint8).tobytes())
+                checks.append((mixed & np.uint64(255)).astype(np.uint8).tobytes())
             yield pa.record_batch(
                 {
                     "doc_id": batch["doc_id"],
@@ -154,15 +156,12 @@ def _confirmed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         )
 
 
-def _links(pairs: DataFrame, nodes: DataFrame, texts: DataFrame, scratch: Scratch) -> DataFrame:
+def _sizes_allow(a: str, b: str):
+    return F.expr(f"100 * least({a}, {b}) >= {SIMILARITY} * greatest({a}, {b})")
+
+
+def _links(likely: DataFrame, texts: DataFrame, scratch: Scratch) -> DataFrame:
     """The pairs (a, b) that are similar, as edges (u, v); a is the likelier hot side."""
-    checks = nodes.select("node", "checks")
-    likely = (
-        pairs.join(checks.toDF("b", "checks_b"), "b")
-        .join(checks.toDF("a", "checks_a"), "a")
-        .where(_alike("checks_a", "checks_b"))
-        .select("a", "b")
-    )
     likely = scratch.table(likely, "likely")
     # A node in many pairs is copied, once for every PER_PIECE pairs, and its pairs are
     # dealt out among the copies.
@@ -174,7 +173,7 @@ def _links(pairs: DataFrame, nodes: DataFrame, texts: DataFrame, scratch: Scratc
         "a", "text_a", F.explode(F.sequence(F.lit(0), F.col("pieces") - 1)).alias("piece")
     )
     with_texts = dealt.join(texts.toDF("b", "text_b"), "b").join(centres, ["a", "piece"])
-    kind = nodes.schema["node"].dataType.simpleString()
+    kind = texts.schema["node"].dataType.simpleString()
     found = with_texts.select("a", "b", "text_a", "text_b").mapInArrow(
         _confirmed, f"u {kind}, v {kind}"
     )
@@ -184,25 +183,116 @@ def _links(pairs: DataFrame, nodes: DataFrame, texts: DataFrame, scratch: Scratc
 
 
 def _members(nodes: DataFrame, scratch: Scratch) -> DataFrame:
-    """(bucket, node, met) of buckets with two nodes or more; met: others over all bands."""
-    by_band = nodes.select("node", F.explode("bands").alias("bucket"))
+    """(bucket, node, size, met) of buckets with two nodes or more; met: others in all bands."""
+    by_band = nodes.select("node", "size", F.explode("bands").alias("bucket"))
     shared = by_band.groupBy("bucket").agg(F.count("*").alias("n")).where("n > 1")
     members = scratch.table(by_band.join(shared, "bucket").distinct(), "members")
     met = members.groupBy("node").agg(F.sum("n").alias("met"))
-    ranked = scratch.table(members.join(met, "node").select("bucket", "node", "met"), "ranked")
+    ranked = members.join(met, "node").select("bucket", "node", "size", "met")
+    ranked = scratch.table(ranked, "ranked")
     scratch.drop(members)
     return ranked
 
 
-def _star_pairs(members: DataFrame, order: list[str]) -> tuple[DataFrame, DataFrame]:
-    """Each bucket's centre, and the pairs of centres with the other members."""
-    best = F.max(F.struct(*order, (-F.col("node")).alias("minus"), "node"))["node"]
-    centres = members.groupBy("bucket").agg(best.alias("a"))
-    pairs = members.join(centres, "bucket").where("a != node")
-    if "component" in members.columns:
-        own = members.select("bucket", F.col("node").alias("a"), F.col("component").alias("own"))
-        pairs = pairs.join(own, ["bucket", "a"]).where("component != own")
-    return centres, pairs.select("a", F.col("node").alias("b")).distinct()
+def _likely_stars(members: DataFrame, nodes: DataFrame) -> DataFrame:
+    """Pairs (a, b) of each bucket's centre and another node that may be similar."""
+    best = F.max(F.struct("met", (-F.col("node")).alias("minus"), "node", "size"))
+    centres = members.groupBy("bucket").agg(best.alias("best")).select(
+        "bucket", F.col("best.node").alias("a"), F.col("best.size").alias("size_a")
+    )
+    pairs = members.join(centres, "bucket").where(F.col("a") != F.col("node"))
+    pairs = pairs.where(_sizes_allow("size", "size_a")).select("a", F.col("node").alias("b")).distinct()
+    checks = nodes.select("node", "checks")
+    return (
+        pairs.join(checks.toDF("b", "checks_b"), "b")
+        .join(checks.toDF("a", "checks_a"), "a")
+        .where(_alike("checks_a", "checks_b"))
+        .select("a", "b")
+    )
+
+
+def _compared(block: pa.Table) -> pa.RecordBatch:
+    """Likely pairs of the left nodes of a block (outside the largest component) and all."""
+    left = block["left"].to_numpy()
+    node, size, component = (block[c].to_numpy() for c in ("node", "size", "component"))
+    outside = block["outside"].to_numpy()
+    checks = np.frombuffer(b"".join(block["checks"].to_pylist()), np.uint8).reshape(-1, HASHES)
+    right = np.flatnonzero(block["right"].to_numpy())
+    a, b = [np.empty(0, np.int64)], [np.empty(0, np.int64)]
+    for i in np.flatnonzero(left):
+        # Of two nodes that are both outside, the smaller has the larger on its right.
+        fit = right[(component[right] != component[i]) & ~(outside[right] & (node[right] < node[i]))]
+        least, most = np.minimum(size[fit], size[i]), np.maximum(size[fit], size[i])
+        fit = fit[100 * least >= SIMILARITY * most]
+        fit = fit[(checks[fit] == checks[i]).sum(1) >= LEAST_EQUAL]
+        a.append(node[fit])
+        b.append(np.full(len(fit), node[i]))
+    return pa.record_batch({"a": pa.array(np.concatenate(a)), "b": pa.array(np.concatenate(b))})
+
+
+def _by_block(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """``_compared`` of every run of rows with one (bucket, left_block, right_block)."""
+    rest: pa.Table | None = None
+    for batch in batches:
+        if not batch.num_rows:
+            continue
+        table = pa.Table.from_batches([batch])
+        table = table if rest is None else pa.concat_tables([rest, table])
+        keys = [table[c].to_numpy() for c in ("bucket", "left_block", "right_block")]
+        change = np.logical_or.reduce([k[1:] != k[:-1] for k in keys])
+        starts = np.r_[0, np.flatnonzero(change) + 1]
+        for start, end in zip(starts[:-1], starts[1:]):
+            yield _compared(table.slice(start, end - start))
+        rest = table.slice(starts[-1])  # may go on in the next batch
+    if rest is not None:
+        yield _compared(rest)
+
+
+def _likely_rest(members: DataFrame, components_: DataFrame, nodes: DataFrame, scratch: Scratch) -> DataFrame:
+    """Pairs (a, b) of different components in one bucket that may be similar."""
+    named = members.join(components_.toDF("node", "component"), "node", "left").select(
+        "bucket", "node", "size", F.coalesce("component", "node").alias("component")
+    )
+    parts = named.groupBy("bucket", "component").agg(F.count("*").alias("n"))
+    totals = parts.groupBy("bucket").agg(
+        F.max(F.struct("n", "component")).alias("largest"), F.sum("n").alias("all")
+    ).where(F.col("all") > F.col("largest.n"))
+    blocks = totals.select(
+        "bucket",
+        F.col("largest.component").alias("largest"),
+        F.ceil((F.col("all") - F.col("largest.n")) / BLOCK).cast("int").alias("left_blocks"),
+        F.ceil(F.col("all") / BLOCK).cast("int").alias("right_blocks"),
+    )
+    open_ = named.join(blocks, "bucket").join(nodes.select("node", "checks"), "node")
+    open_ = scratch.table(
+        open_.withColumn("outside", F.col("component") != F.col("largest")).drop("largest"), "open"
+    )
+
+    columns = ("node", "size", "component", "outside", "checks")
+
+    def dealt(rows: DataFrame, left: bool, own: str, other: str) -> DataFrame:
+        """Each row to one block of its own side and to all blocks of the other."""
+        return rows.select(
+            "bucket",
+            F.pmod(F.xxhash64("node"), F.col(f"{own}s")).cast("int").alias(own),
+            F.explode(F.sequence(F.lit(0), F.col(f"{other}s") - 1)).alias(other),
+            F.lit(left).alias("left"), F.lit(not left).alias("right"), *columns,
+        )
+
+    # Most buckets are one block, where a row is on both sides and is sent once.
+    small = F.col("right_blocks") == 1
+    block = F.lit(0).alias("left_block"), F.lit(0).alias("right_block")
+    once = open_.where(small).select(
+        "bucket", *block, F.col("outside").alias("left"), F.lit(True).alias("right"), *columns
+    )
+    large = open_.where(~small)
+    both = once.unionByName(
+        dealt(large.where("outside"), True, "left_block", "right_block")
+    ).unionByName(dealt(large, False, "right_block", "left_block"))
+    keys = ("bucket", "left_block", "right_block")
+    kind = nodes.schema["node"].dataType.simpleString()
+    grouped = both.repartition(*keys).sortWithinPartitions(*keys)
+    return grouped.mapInArrow(_by_block, f"a {kind}, b {kind}").distinct()
 
 
 def link_components(nodes: DataFrame, texts: DataFrame, scratch: Scratch) -> DataFrame:
@@ -210,49 +300,11 @@ def link_components(nodes: DataFrame, texts: DataFrame, scratch: Scratch) -> Dat
     members = _members(nodes, scratch)
     wanted = members.select("node").distinct()
     texts = scratch.table(texts.join(wanted, "node", "left_semi"), "texts")
-
-    centres, pairs = _star_pairs(members, ["met"])
-    links = _links(pairs, nodes, texts, scratch)
+    links = _links(_likely_stars(members, nodes), texts, scratch)
     found = components(links, scratch)
-    while True:
-        named = found.toDF("node", "component")
-        rest = (
-            members.join(centres, (members["bucket"] == centres["bucket"]) & (F.col("node") == F.col("a")), "left_anti")
-            .join(named, "node", "left")
-            .select("bucket", "node", "met", F.coalesce("component", "node").alias("component"))
-        )
-        parts = rest.groupBy("bucket", "component").agg(F.count("*").alias("n"))
-        totals = parts.groupBy("bucket").agg(
-            F.count("*").alias("parts"), F.sum("n").alias("all"),
-            ((F.sum("n") * F.sum("n") - F.sum(F.col("n") * F.col("n"))) / 2).alias("pairs"),
-        ).where("parts > 1")
-        open_ = scratch.table(
-            rest.join(totals.select("bucket", "pairs", "all"), "bucket")
-            .join(parts.withColumnRenamed("n", "alike"), ["bucket", "component"]), "open",
-        )
-        size = open_.agg(
-            F.count("*").alias("members"), F.sum(F.col("pairs") / F.col("all")).alias("pairs")
-        ).first()
-        if not size["members"]:
-            return found
-        least = open_.select("bucket", "node", "met", "component", (-F.col("alike")).alias("few"))
-        last = size["pairs"] <= FEW * size["members"] or size["members"] < 100_000
-        if last:
-            other = least.select("bucket", F.col("node").alias("b"), F.col("component").alias("other"))
-            pairs = (
-                least.join(other, "bucket").where("node < b AND component != other")
-                .select(F.col("node").alias("a"), "b").distinct()
-            )
-        else:
-            centres, pairs = _star_pairs(least, ["few", "met"])
-        more = _links(pairs, nodes, texts, scratch)
-        if last and more.isEmpty():
-            return found
-        links = scratch.table(found.unionByName(more), "links")
-        found = components(links, scratch)
-        if last:
-            return found
-        members = least.select("bucket", "node", "met")
+    more = _links(_likely_rest(members, found, nodes, scratch), texts, scratch)
+    scratch.drop(members, texts, links)
+    return found if more.isEmpty() else components(found.unionByName(more), scratch)
 
 
 def near_duplicates(docs: DataFrame) -> DataFrame:
@@ -261,11 +313,12 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
     signed = scratch.table(signatures(docs), "signed")
     classes = signed.where("n_shingles > 0").groupBy("content").agg(
         F.min("doc_id").alias("node"), F.count("*").alias("rows"),
-        F.first("bands").alias("bands"), F.first("checks").alias("checks"),
+        F.first("n_shingles").alias("size"), F.first("bands").alias("bands"),
+        F.first("checks").alias("checks"),
     ).where("node IS NOT NULL")
     classes = scratch.table(classes, "classes")
     texts = docs.select(F.col("doc_id").alias("node"), "text").where("text IS NOT NULL")
-    found = link_components(classes.select("node", "bands", "checks"), texts, scratch)
+    found = link_components(classes.select("node", "size", "bands", "checks"), texts, scratch)
 
     # Only classes of several rows or with links need a look-up; others name themselves.
     named = (

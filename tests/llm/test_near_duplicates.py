@@ -87,13 +87,13 @@ def test_blocks_of_few_nodes_find_the_same(spark, tmp_path, monkeypatch):
 def test_pairs_outside_the_largest_component_are_compared():
     import pyarrow as pa
 
-    own = [bytes([k]) * 128 for k in (1, 1, 1, 2)]
+    own = [bytes([k]) * near_duplicates.HASHES for k in (1, 1, 1, 2)]
     # Nodes 5, 6 (largest component 5), 7 and 8 outside; 7 agrees with 5 and 6.
     rows = [(True, 7, own[2], 7, True), (True, 8, own[3], 8, True)] + [
         (False, n, c, k, o) for n, c, k, o in ((5, own[0], 5, False), (6, own[1], 5, False), (7, own[2], 7, True), (8, own[3], 8, True))
     ]
     left, node, checks, component, outside = zip(*rows)
-    table = pa.table({"left": left, "node": node, "checks": checks, "component": component,
+    table = pa.table({"left": left, "right": [not x for x in left], "node": node, "checks": checks, "component": component,
                       "outside": outside, "size": [10] * len(rows)})
     found = near_duplicates._compared(table)
     assert sorted(zip(*(found[c].to_pylist() for c in "ab"))) == [(5, 7), (6, 7)]
