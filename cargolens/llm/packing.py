@@ -34,8 +34,9 @@ from cargolens.llm.common import Scratch, dense_slots, read
 
 CAPACITY = 4096
 END_ID = 1
-MOST_WORDS = 500_000  # entries of a worker's table of words
+MOST_WORDS = 300_000  # entries of one generation of a worker's table of words
 LONGEST_KEPT = 64  # characters
+MARKS = ".,;:!?"
 
 # A pattern is what one sequence holds: (length, times) in order of place.
 Pattern = tuple[tuple[int, int], ...]
@@ -47,34 +48,65 @@ class _Words:
     The vocabulary's normalizer and splitter treat white space as a border, so the
     ids of a text are those of its words.  Only the plain space and the line feed
     are used to cut; any other space inside a word is left to the tokenizer.
+
+    The table has two generations: a word of the older one moves to the newer when it
+    is met again, and when the newer is full the older is forgotten.  So frequent
+    words stay and memory is bounded.
     """
 
     def __init__(self, file: str):
-        from tokenizers import Tokenizer
+        from tokenizers import Tokenizer, normalizers, pre_tokenizers
 
         self.tokenizer = Tokenizer.from_file(file)
+        # For words of Latin-1 letters alone, which normalize to their lower case and are
+        # never split: the same merges without the dear steps before them.
+        self.letters = Tokenizer.from_file(file)
+        self.letters.normalizer = normalizers.Sequence([])
+        self.letters.pre_tokenizer = pre_tokenizers.ByteLevel(add_prefix_space=False, use_regex=False)
+        self.marks = dict(zip(MARKS, self._encode(self.tokenizer, list(MARKS)))) | {"": b""}
         self.table: dict[str, bytes] = {}
+        self.older: dict[str, bytes] = {}
 
-    def _encode(self, words: list[str]) -> list[bytes]:
-        found = self.tokenizer.encode_batch_fast(words, add_special_tokens=False)
+    @staticmethod
+    def _encode(tokenizer, words: list[str]) -> list[bytes]:
+        found = tokenizer.encode_batch_fast(words, add_special_tokens=False)
         return [np.array(x.ids, "<u4").tobytes() for x in found]
 
+    def _new(self, words: list[str]) -> dict[str, bytes]:
+        """Ids of words that no table has; a mark behind letters is a token of its own."""
+        plain, marks, other = [], [], []
+        for word in words:
+            mark = word[-1:] if word[-1:] in self.marks else ""
+            letters = word[: len(word) - len(mark)]
+            if letters.isalpha() and max(letters) < "\u0100":
+                plain.append(letters.lower())
+                marks.append((word, self.marks[mark]))
+            else:
+                other.append(word)
+        out = dict(zip(other, self._encode(self.tokenizer, other)))
+        found = self._encode(self.letters, plain)
+        out.update((word, ids + mark) for (word, mark), ids in zip(marks, found))
+        return out
+
     def ids(self, texts: list[str | None]) -> Iterator[bytes]:
         """Little-endian 32-bit ids of each text."""
-        if len(self.table) > MOST_WORDS:
-            self.table = {}
-        table = self.table
         for text in texts:
+            if len(self.table) > MOST_WORDS:
+                self.table, self.older = {}, self.table
+            table, older = self.table, self.older
             words = (text or "").replace("\n", " ").split(" ")
-            if new := [w for w in set(words) if w not in table]:
-                long = [w for w in new if len(w) > LONGEST_KEPT]
-                short = [w for w in new if len(w) <= LONGEST_KEPT]
-                table.update(zip(short, self._encode(short)))
+            new = set(words).difference(table)
+            if new:
+                known = new.intersection(older)
+                table.update((w, older[w]) for w in known)
+                new -= known
+                long = {w for w in new if len(w) > LONGEST_KEPT}
+                table.update(self._new(list(new - long)))
                 if long:
-                    own = dict(zip(long, self._encode(long)))
+                    own = self._new(list(long))
                     yield b"".join([own[w] if w in own else table[w] for w in words])
                     continue
-            yield b"".join([table[w] for w in words])
+            yield b"".join(map(table.__getitem__, words))
 
 
 _tokenizers: dict[str, _Words] = {}
