@@ -17,8 +17,13 @@ have a partner are sorted, and bucket by bucket:
    both meet a sampled position at one distance below 31, and the 168-byte strings
    there, ranked once, decide what is left of the 200 bytes.
 
-Memory is bounded by a block, not by how long or how frequent the repeats are; a bucket
-larger than a block makes a block of its own.
+4. A bucket larger than a block is never sorted whole, whatever its size.  Its contents are
+   dealt by their digest into pieces of about a block; a piece gives each different
+   200-byte string once, as a 128-bit digest with the number of its windows, these are
+   counted over all pieces, and a piece gets back those of its single strings that others hold.
+
+Memory is bounded by a block (or one text, if that is longer), not by how long or how
+frequent the repeats are.
 
 Cases: null text is empty; texts below 200 bytes have no window and stay; matches never
 cross documents; repeated rows are documents that repeat each other; a null doc_id is an
@@ -228,6 +233,59 @@ def _sorted_buckets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatc
         yield solved(block)
 
 
+def _digests(rows: pa.Table) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """128-bit digests of all windows of a piece, as bytes: different ones, each window's, times."""
+    found = bytearray()
+    for content, windows in zip(rows["bytes"].to_pylist(), rows["windows"].to_pylist()):
+        for at in range(windows):
+            found += xxhash.xxh3_128_digest(content[at : at + LENGTH])
+    # As void the zero bytes at the end count too.
+    return np.unique(np.frombuffer(bytes(found), "V16"), return_inverse=True, return_counts=True)
+
+
+def _piece_strings(rows: pa.Table) -> pa.Table:
+    """(f, piece, g, times): the different strings of one piece of a bucket."""
+    strings, _, times = _digests(rows)
+    return pa.table(
+        {"f": pa.array(np.repeat(rows["f"][0].as_py(), len(times)), pa.int64()),
+         "piece": pa.array(np.repeat(rows["piece"][0].as_py(), len(times)), pa.int64()),
+         "g": pa.array([g.tobytes() for g in strings], pa.binary()), "times": pa.array(times, pa.int64())}
+    )
+
+
+def _piece_ranges(rows: pa.Table, elsewhere: pa.Table) -> pa.Table:
+    """(f, h, ranges) of one piece; ``elsewhere`` are its single strings that other pieces hold."""
+    if not rows.num_rows:
+        return pa.table({"f": pa.array([], pa.int64()), "h": pa.array([], pa.int64()),
+                         "ranges": pa.array([], pa.list_(pa.int32()))})
+    strings, each, times = _digests(rows)
+    others = np.frombuffer(b"".join(elsewhere["g"].to_pylist()), "V16")
+    flags = ((times > 1) | np.isin(strings, others))[each]
+    ranges, at = [], 0
+    for n, copies in zip(rows["windows"].to_pylist(), rows["several"].to_pylist()):
+        ranges.append([0, n] if copies else _ranges(flags[at : at + n]))
+        at += n
+    return pa.table({"f": rows["f"], "h": rows["h"], "ranges": pa.array(ranges, pa.list_(pa.int32()))})
+
+
+def _counted_buckets(hot: DataFrame, scratch: Scratch) -> DataFrame:
+    """(f, h, ranges) of the buckets that are larger than a block, piece by piece."""
+    hot = scratch.table(hot, "hot")
+    strings = hot.groupBy("f", "piece").applyInArrow(
+        _piece_strings, "f long, piece long, g binary, times long"
+    )
+    strings = scratch.table(strings, "strings")
+    counts = strings.groupBy("f", "g").agg(F.count("*").alias("pieces")).where("pieces > 1")
+    # What a piece holds twice by itself is repeated anyway.
+    elsewhere = strings.where("times = 1").join(counts, ["f", "g"]).select("f", "piece", "g")
+    out = hot.groupBy("f", "piece").cogroup(elsewhere.groupBy("f", "piece")).applyInArrow(
+        _piece_ranges, "f long, h long, ranges array<int>"
+    )
+    out = scratch.table(out, "counted")
+    scratch.drop(hot, strings)
+    return out
+
+
 def _contents(wanted: DataFrame, docs: DataFrame) -> DataFrame:
     """The bytes of the runs listed for each document."""
 
@@ -237,22 +295,23 @@ def _contents(wanted: DataFrame, docs: DataFrame) -> DataFrame:
             for text, listed in zip(batch["text"], batch["listed"].to_pylist()):
                 data = text.as_py().encode("utf-8", "surrogatepass")
                 rows += [
-                    (r["f"], r["h"], r["windows"], r["offset"], r["several"],
+                    (r["f"], r["h"], r["windows"], r["offset"], r["several"], r["pieces"],
                      data[r["at"] : r["at"] + r["windows"] - 1 + LENGTH])
                     for r in listed
                 ]
-            f, h, windows, offset, several, found = zip(*rows) if rows else [()] * 6
+            f, h, windows, offset, several, pieces, found = zip(*rows) if rows else [()] * 7
             yield pa.record_batch(
                 {"f": pa.array(f, pa.int64()), "h": pa.array(h, pa.int64()),
                  "windows": pa.array(windows, pa.int32()), "offset": pa.array(offset, pa.int32()),
-                 "several": pa.array(several, pa.bool_()), "bytes": pa.array(found, pa.binary())}
+                 "several": pa.array(several, pa.bool_()), "pieces": pa.array(pieces, pa.int64()),
+                 "bytes": pa.array(found, pa.binary())}
             )
 
     key = wanted.withColumnsRenamed({"doc_id": "id", "content": "text_hash"})
     same = docs["doc_id"].eqNullSafe(key["id"]) & (docs["content"] == key["text_hash"])
     # Copies of a row would give their contents again; one of them is enough.
     joined = docs.join(key, same).select("text", "listed")
-    schema = "f long, h long, windows int, offset int, several boolean, bytes binary"
+    schema = "f long, h long, windows int, offset int, several boolean, pieces long, bytes binary"
     return joined.mapInArrow(run, schema)
 
 
@@ -269,19 +328,32 @@ def repeated_spans(docs: DataFrame, scratch: Scratch) -> DataFrame:
         (F.count("*") > 1).alias("several"), F.max("anchors").alias("anchors"), F.min(one).alias("one")
     )
     contents = scratch.table(contents, "contents")
-    kinds = contents.groupBy("f").agg(F.count("*").alias("kinds"), F.max("anchors").alias("most"))
-    open_ = kinds.where("kinds > 1 OR most > 1").select("f")
+    kinds = contents.groupBy("f").agg(
+        F.count("*").alias("kinds"), F.max("anchors").alias("most"),
+        F.ceil(F.sum(F.col("one.windows") + (LENGTH - 1)) / BLOCK).alias("pieces"),
+    )
+    open_ = scratch.table(kinds.where("kinds > 1 OR most > 1").select("f", "pieces"), "open")
 
-    listed = contents.join(open_, "f").select("f", "h", "several", "one.*")
+    listed = contents.join(open_, "f").select("f", "h", "several", "pieces", "one.*")
     listed = listed.groupBy("doc_id", "content").agg(
-        F.collect_list(F.struct("f", "h", "at", "windows", "offset", "several")).alias("listed")
+        F.collect_list(F.struct("f", "h", "at", "windows", "offset", "several", "pieces")).alias("listed")
     )
     # Repeated rows give their contents once more, so equal ones are merged again.
-    each = _contents(listed, docs).repartition("f").dropDuplicates(["f", "h"])
-    sorted_ = each.sortWithinPartitions("f").mapInArrow(
+    each = _contents(listed, docs)
+    large = not open_.where("pieces > 1").isEmpty()
+    if large:
+        each = scratch.table(each, "each")
+    small = each.where("pieces = 1").repartition("f").dropDuplicates(["f", "h"])
+    sorted_ = small.sortWithinPartitions("f").mapInArrow(
         _sorted_buckets, "f long, h long, ranges array<int>"
     )
-    sorted_ = scratch.table(sorted_, "sorted")
+    solved = [scratch.table(sorted_, "sorted")]
+    if large:
+        hot = each.where("pieces > 1").dropDuplicates(["f", "h"])
+        hot = hot.withColumn("piece", F.pmod(F.xxhash64("h"), "pieces"))
+        solved.append(_counted_buckets(hot.drop("pieces", "offset"), scratch))
+        scratch.drop(each)
+    sorted_ = solved[0] if not large else solved[0].unionByName(solved[1])
 
     alone = contents.join(open_, "f", "left_anti").where("several").select(
         "f", "h", F.lit(None).cast("array<int>").alias("ranges")
@@ -315,7 +387,7 @@ def repeated_spans(docs: DataFrame, scratch: Scratch) -> DataFrame:
         ).otherwise(F.concat(done, F.array(x))),
     )
     spans = scratch.table(grouped.select("doc_id", "content", merged.alias("spans")), "spans")
-    scratch.drop(flagged, contents, sorted_)
+    scratch.drop(flagged, contents, open_, *solved)
     return spans
 
 

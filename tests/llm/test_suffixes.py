@@ -103,3 +103,23 @@ def test_small_blocks_give_the_same(monkeypatch, spark):
     monkeypatch.setattr(suffixes, "BLOCK", 1)
     found = sorted((r["doc_id"], r["n_removed"]) for r in remove_repeated(documents(spark, rows)).collect())
     assert found == want
+
+
+def test_a_large_bucket_is_dealt_into_pieces(monkeypatch, spark):
+    rng = random.Random(3)
+    passage = " ".join(words(rng, "en", 70))[:373]
+    rows = [(i, f"{prose(rng, n=30)} {passage} {prose(rng, n=30)}", None, None, None) for i in range(300)]
+    monkeypatch.setattr(suffixes, "BLOCK", 10_000)
+    written, table = {}, suffixes.Scratch.table
+
+    def spy(self, df, name):
+        out = table(self, df, name)
+        if name == "hot":
+            written[name] = out.selectExpr("f", "piece", "length(bytes) AS size").toPandas()
+        return out
+
+    monkeypatch.setattr(suffixes.Scratch, "table", spy)
+    found = remove_repeated(documents(spark, rows), digests=True)
+    assert Counter(tuple(r) for r in found.drop("spans").collect()) == brute(rows)
+    sizes = written["hot"].groupby(["f", "piece"])["size"].sum()
+    assert len(sizes) > 3 and sizes.max() < 2 * suffixes.BLOCK
