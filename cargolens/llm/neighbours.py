@@ -11,8 +11,10 @@ round; no neighbour is dropped.  Rounds end when few neighbours change.
 
 A query is a row and so a node of the graph.  Its search starts at its own neighbours and
 in each round walks on from the best nodes not yet visited, along edges in both
-directions.  Vectors travel as 16-bit floats up to here; the best nodes found are scored
-anew in double precision on the original vectors, with ties to the smaller id.
+directions.  Vectors travel unrounded, as 32-bit floats where all their values are such and
+as 64-bit floats otherwise, and every score is a double: graph and search rank as the exact
+scores do, up to the order of a sum.  The best nodes found are scored anew on the original
+vectors, with ties to the smaller id.
 
 Cases: a vector that is null, zero, or holds a null, a NaN or an infinity takes no part,
 nor does a row with a null id; where lengths differ the most frequent length takes part
@@ -57,8 +59,15 @@ def _usable(rows: DataFrame) -> DataFrame:
 
 @F.pandas_udf(T.BinaryType())
 def _code(vectors: pd.Series) -> pd.Series:
-    """16-bit floats, scaled to length 1 or less: an order of scores is all that is needed."""
-    return vectors.map(lambda v: np.asarray(v, np.float64).astype(np.float16).tobytes())
+    """All values without loss: the width of a float (4 or 8), then the floats."""
+
+    def code(v) -> bytes:
+        wide = np.asarray(v, np.float64)
+        with np.errstate(over="ignore", under="ignore"):
+            short = wide.astype(np.float32)
+        return b"\4" + short.tobytes() if (short == wide).all() else b"\x08" + wide.tobytes()
+
+    return vectors.map(code)
 
 
 def _nodes(rows: DataFrame, nearest: int) -> DataFrame:
@@ -73,7 +82,12 @@ def _nodes(rows: DataFrame, nearest: int) -> DataFrame:
 
 
 def _matrix(codes) -> np.ndarray:
-    return np.frombuffer(b"".join(codes), np.float16).reshape(len(codes), -1).astype(np.float32)
+    kinds = {4: np.float32, 8: np.float64}
+    codes = list(codes)
+    if len({c[0] for c in codes}) > 1:
+        return np.stack([np.frombuffer(c, kinds[c[0]], offset=1).astype(np.float64) for c in codes])
+    raw = np.frombuffer(b"".join(codes), np.uint8).reshape(len(codes), -1)[:, 1:]
+    return np.ascontiguousarray(raw).view(kinds[codes[0][0]]).astype(np.float64)
 
 
 def _block_neighbours(block: pd.DataFrame) -> pd.DataFrame:
@@ -82,7 +96,7 @@ def _block_neighbours(block: pd.DataFrame) -> pd.DataFrame:
     np.fill_diagonal(scores, -np.inf)
     k = min(DEGREE, len(node) - 1)
     if not k:
-        return pd.DataFrame({"u": [], "v": [], "s": []}).astype({"u": "int64", "v": "int64", "s": "float32"})
+        return pd.DataFrame({"u": [], "v": [], "s": []}).astype({"u": "int64", "v": "int64", "s": "float64"})
     at = np.argpartition(-scores, k - 1, axis=1)[:, :k]
     return pd.DataFrame(
         {"u": np.repeat(node, k), "v": node[at].ravel(),
@@ -113,7 +127,7 @@ def _first_edges(nodes: DataFrame, count: int, scratch: Scratch) -> DataFrame:
         dealt = sided.join(F.broadcast(sizes), "side").withColumn(
             "piece", F.pmod(F.xxhash64("node", F.lit(start)), F.col("pieces"))
         )
-        edges.append(dealt.groupBy("side", "piece").applyInPandas(_block_neighbours, "u long, v long, s float"))
+        edges.append(dealt.groupBy("side", "piece").applyInPandas(_block_neighbours, "u long, v long, s double"))
     out = edges[0]
     for more in edges[1:]:
         out = out.unionByName(more)
@@ -134,7 +148,7 @@ def _local_joins(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         v = table["v"].to_numpy()
         new, worst = table["new"].to_numpy(), table["worst"].to_numpy()
         vectors = _matrix(table["code"].to_pylist())
-        found = [(np.empty(0, np.int64), np.empty(0, np.int64), np.empty(0, np.float32))]
+        found = [(np.empty(0, np.int64), np.empty(0, np.int64), np.empty(0))]
         for a, b in zip(starts[:-1], starts[1:]):
             if b - a < 2 or not new[a:b].any():
                 continue
@@ -169,7 +183,7 @@ def graph(nodes: DataFrame, scratch: Scratch) -> DataFrame:
     edges = scratch.table(_first_edges(nodes, count, scratch), "graph")
     for turn in range(ROUNDS):
         worst = edges.groupBy("u").agg(
-            F.when(F.count("*") >= DEGREE, F.min("s")).otherwise(F.lit(-math.inf)).cast("float").alias("worst")
+            F.when(F.count("*") >= DEGREE, F.min("s")).otherwise(F.lit(-math.inf)).cast("double").alias("worst")
         )
         known = nodes.select(F.col("node").alias("v"), "code").join(
             worst.withColumnRenamed("u", "v"), "v"
@@ -186,7 +200,7 @@ def graph(nodes: DataFrame, scratch: Scratch) -> DataFrame:
         )
         around = dealt.join(known, "v").repartition("u", "piece").sortWithinPartitions("u", "piece")
         better = around.select("u", "piece", "v", "new", "worst", "code").mapInArrow(
-            _local_joins, "u long, v long, s float"
+            _local_joins, "u long, v long, s double"
         )
         merged = edges.withColumn("new", F.lit(False)).unionByName(better.withColumn("new", F.lit(True)))
         after = scratch.table(_keep_best(merged), "graph")
@@ -198,7 +212,7 @@ def graph(nodes: DataFrame, scratch: Scratch) -> DataFrame:
     return edges
 
 
-@F.pandas_udf(T.FloatType())
+@F.pandas_udf(T.DoubleType())
 def _score(left: pd.Series, right: pd.Series) -> pd.Series:
     return pd.Series((_matrix(left) * _matrix(right)).sum(1))
 

@@ -88,3 +88,35 @@ def test_other_lengths_take_no_part(spark):
     rows = vectors(30, 4) + [(100 + i, [1.0, 2.0], 0) for i in range(5)]
     found = answers(nearest_neighbours(spark.createDataFrame(rows, SCHEMA), F.col("vec_id") % 20 == 0))
     assert set(found) == {0, 20} and all(j < 100 for r in found.values() for j, _ in r)
+
+
+@pytest.mark.parametrize("scale", [1e6, 1e-12, "one"])
+def test_vectors_of_any_size_take_part(spark, scale):
+    rows = vectors(300, 16, seed=4)
+    if scale == "one":
+        rows[7] = (7, [x * 1e6 for x in rows[7][1]], 0)
+    else:
+        rows = [(i, [float(np.float32(x * scale)) for x in v], k) for i, v, k in rows]
+    docs = spark.createDataFrame(rows, SCHEMA)
+    found, want = answers(nearest_neighbours(docs, F.col("vec_id") % 20 == 0)), brute(rows)
+    assert recall(found, want) == 1
+    assert all(math.isfinite(s) for r in found.values() for _, s in r)
+
+
+def test_values_beyond_32_bits_take_part(spark):
+    rows = [(i, [x * 1e60 for x in v], k) for i, v, k in vectors(100, 8)]
+    docs = spark.createDataFrame(rows, SCHEMA.replace("float", "double"))
+    assert recall(answers(nearest_neighbours(docs, F.col("vec_id") % 20 == 0)), brute(rows)) == 1
+
+
+@pytest.mark.parametrize("near", [0.01, 0.003])
+def test_recall_in_a_dense_group(spark, near):
+    draws = np.random.RandomState(2)
+    middle = draws.standard_normal(32)
+    found = middle / np.linalg.norm(middle) + draws.standard_normal((1500, 32)) * near / 32**0.5
+    found /= np.linalg.norm(found, axis=1, keepdims=True)
+    rows = [(i, [float(np.float32(x)) for x in v], 0) for i, v in enumerate(found)]
+    docs = spark.createDataFrame(rows, SCHEMA)
+    share = recall(answers(nearest_neighbours(docs, F.col("vec_id") % 20 == 0)), brute(rows))
+    print("recall", near, share)
+    assert share >= 0.9
