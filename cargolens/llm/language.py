@@ -12,10 +12,11 @@ N-grams are taken from the whole text, lower-cased, with every run of characters
 are no letters as one space.  The spectrum is that of the training sample: n-grams
 that it does not hold match nothing.
 
-Bounds (parameters): ``per_language`` training texts of at most ``most_chars``
-characters for each label, ``landmarks`` of them, and ``most_grams`` n-grams.  Texts
-are taken by the order of their hash, so the sample does not depend on the layout of
-the table, and copies of one text count once.
+Bounds (parameters): ``per_language`` training texts for each label, ``landmarks`` of
+them, and ``most_grams`` n-grams.  Texts of more than ``most_chars`` characters teach,
+whole, only where a label has too few shorter ones.  Texts are taken by the order of their
+hash, so the sample does not depend on the layout of the table, and copies of one text
+count once: a label with fewer different texts than wanted gives them all.
 
 Cases: a text that is null or without a letter is ``und`` with score 0; rows with null
 text or label teach nothing; with no labelled text at all every text is ``und``; very
@@ -32,7 +33,7 @@ import numpy as np
 import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
-from cargolens.llm.common import read
+from cargolens.llm.common import Scratch, read
 
 UNKNOWN = "und"
 _SPACE = 32
@@ -205,36 +206,51 @@ def training_sample(
     labelled: DataFrame, per_language: int = 150, most_chars: int = 20_000
 ) -> tuple[list[str], list[str]]:
     """Texts and labels, bounded; ``labelled`` has ``text`` and ``lang``."""
+    spark = labelled.sparkSession
     usable = labelled.select("text", "lang").where(
-        F.col("text").isNotNull()
-        & F.col("lang").isNotNull()
-        & F.col("text").rlike(r"\p{L}")
-        & (F.length("text") <= most_chars)
+        F.col("text").isNotNull() & F.col("lang").isNotNull() & F.col("text").rlike(r"\p{L}")
+    ).withColumn("hash", F.xxhash64("text"))
+    # Copies of a text are one row before anything is counted or drawn.
+    scratch = Scratch(spark)
+    different = scratch.table(
+        usable.groupBy("hash").agg(
+            F.min("lang").alias("lang"), (F.min(F.length("text")) > most_chars).alias("long")
+        ),
+        "different",
     )
-    counts = {r["lang"]: r["count"] for r in usable.groupBy("lang").count().collect()}
+    counts = {(r["lang"], r["long"]): r["count"] for r in different.groupBy("lang", "long").count().collect()}
     if not counts:
+        scratch.drop(different)
         return [], []
     # About twice the wanted number of each label by hash, then the exact number.
     whole = 1 << 30
-    part = F.pmod(F.xxhash64("text"), F.lit(whole))
-    limits = F.create_map(
-        *[F.lit(x) for k, n in counts.items()
-          for x in (k, min(whole, 1 + whole * (2 * per_language + 50) // n))]
+    limits = spark.createDataFrame(
+        [
+            (lang, long, min(whole, 1 + whole * (2 * per_language + 50) // n))
+            for (lang, long), n in counts.items()
+            if not long or counts.get((lang, False), 0) < per_language
+        ],
+        "lang string, long boolean, below long",
     )
     bound = 4 * (per_language + 50) * len(counts)
-    rows = (
-        usable.withColumn("part", part)
-        .where(F.col("part") < limits[F.col("lang")])
-        .groupBy("part", "text").agg(F.min("lang").alias("lang"))
-        .orderBy("part", "text").limit(bound).collect()
+    drawn = (
+        different.withColumn("part", F.pmod(F.xxhash64("hash"), F.lit(whole)))
+        .join(F.broadcast(limits), ["lang", "long"]).where("part < below")
+        .orderBy("long", "part", "hash").select("hash", "lang").limit(bound).collect()
     )
+    scratch.drop(different)
     taken: dict[str, int] = {}
     kept = []
-    for row in rows:
+    for row in drawn:  # short texts first
         if taken.setdefault(row["lang"], 0) < per_language:
             taken[row["lang"]] += 1
-            kept.append((row["text"], row["lang"]))
-    return [t for t, _ in kept], [k for _, k in kept]
+            kept.append((len(kept), row["hash"], row["lang"]))
+    chosen = spark.createDataFrame(kept, "place long, hash long, label string")
+    rows = (
+        usable.join(F.broadcast(chosen), "hash")
+        .groupBy("place", "label").agg(F.min("text").alias("text")).orderBy("place").collect()
+    )
+    return [r["text"] for r in rows], [r["label"] for r in rows]
 
 
 def language(spark: SparkSession, model: Model, text: Column) -> Column:

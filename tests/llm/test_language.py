@@ -80,3 +80,23 @@ def test_sample_is_bounded_and_counts_copies_once(spark):
     rows = [(i, f"Text number {i % 50} in words", "en" if i % 3 else "de", None, None) for i in range(600)]
     texts, langs = training_sample(documents(spark, rows), per_language=10)
     assert len(texts) == len(set(texts)) and langs.count("en") <= 10 and langs.count("de") <= 10
+
+
+def test_copies_do_not_crowd_out_the_texts_of_a_label(spark):
+    rows = [(i, "One and the same text, many times", "en", None, None) for i in range(20_000)]
+    rows += [(30_000 + i, f"Different text {'abcdefghij'[i % 10]} {'klmnopqrst'[i // 10]}", "en", None, None) for i in range(20)]
+    texts, langs = training_sample(documents(spark, rows), per_language=15)
+    assert len(texts) == len(set(texts)) == langs.count("en") == 15
+    texts, langs = training_sample(documents(spark, rows))
+    assert len(texts) == len(set(texts)) == 21
+
+
+def test_labels_with_long_texts_only_are_learnt(spark):
+    rng = random.Random(4)
+    rows = [(i, prose(rng, "en", 20), "en", None, None) for i in range(30)]
+    rows += [(100 + i, prose(rng, "de", 60), "de", None, None) for i in range(4)]
+    rows.append((200, prose(rng, "en", 60), "en", None, None))
+    texts, langs = training_sample(documents(spark, rows), per_language=20, most_chars=200)
+    assert langs.count("de") == 4 and langs.count("en") == 20
+    assert {t for t, k in zip(texts, langs) if k == "de"} == {r[1] for r in rows if r[2] == "de"}
+    assert rows[-1][1] not in texts
