@@ -3,11 +3,11 @@
 Words are runs of letters and digits, A-Z in lower case; shingles have five words.  A
 template of n words is looked for in windows of ``size`` words every ``size / 2`` words,
 with ``size`` the smallest power of two of at least 2n: any occurrence lies inside a
-window.  A window has ``BANDS`` MinHash values, each a band of its own.  A window that
-holds 3/4 of a template's shingles is at least 0.16 similar to it, so all bands miss it
-with a probability below (1 - 0.16)^64, 2 in 100,000, and below one in a million at the
-similarities of whole notices (0.21 and more).  Windows without any shingle of a
-template are not hashed at all: their minima cannot meet a template's.  What the bands
+window.  A window has MinHash values, each a band of its own: ``BANDS`` of them, or as many
+more as its templates need.  ``least_similarity`` is that of a full window of different
+shingles with just 3/4 of a template's (1/12 for a template of five words, 159 bands); all
+bands together miss it with a probability of at most ``MISSED``.  Windows without any shingle
+of a template are not hashed at all: their minima cannot meet a template's.  What the bands
 retrieve is verified on the shingles themselves, as words: the part of the template's
 shingles that the window holds.
 
@@ -22,6 +22,7 @@ templates of fewer than five words are refused; extra columns are not read.
 
 from __future__ import annotations
 
+import math
 from collections.abc import Mapping
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
@@ -29,7 +30,8 @@ from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 from cargolens.llm.common import let, read
 
 WORDS = 5
-BANDS = 64
+BANDS = 64  # at least
+MISSED = 1e-6  # highest probability that all bands miss a window
 CONTAINED = 75  # percent of a template's shingles
 
 # Public notices.
@@ -84,8 +86,8 @@ def _shingles(found: Column) -> Column:
     return F.array_distinct(joined)
 
 
-def _minima(hashes: Column) -> Column:
-    seeds = F.sequence(F.lit(1), F.lit(BANDS))
+def _minima(hashes: Column, bands: int = BANDS) -> Column:
+    seeds = F.sequence(F.lit(1), F.lit(bands))
     return F.transform(
         seeds, lambda s: F.array_min(F.transform(hashes, lambda x: F.xxhash64(x, s)))
     )
@@ -96,6 +98,18 @@ def window_size(words_of_template: int) -> int:
     return 1 << (2 * words_of_template - 1).bit_length()
 
 
+def least_similarity(shingles: int, size: int) -> float:
+    """Of a template of so many shingles and a window of ``size`` words that has enough of them."""
+    held = -(-CONTAINED * shingles // 100)
+    return held / (max(size - WORDS + 1, held) + shingles - held)
+
+
+def bands_for(shingles: int, size: int) -> int:
+    """Bands that miss such a window with a probability of at most ``MISSED``."""
+    similarity = least_similarity(shingles, size)
+    return BANDS if similarity == 1 else max(BANDS, math.ceil(math.log(MISSED) / math.log1p(-similarity)))
+
+
 def scan(docs: DataFrame, templates: Mapping[str, str] = TEMPLATES) -> DataFrame:
     """doc_id, license, matched, shingles, first_word of every notice in every text.
 
@@ -107,18 +121,24 @@ def scan(docs: DataFrame, templates: Mapping[str, str] = TEMPLATES) -> DataFrame
         spark.createDataFrame(sorted(templates.items()), "license string, text string")
         .select("license", words(F.col("text")).alias("w"))
         .select("license", F.size("w").alias("n"), _shingles(F.col("w")).alias("wanted"),
-                _hashes(F.col("w")).alias("hashes"), _minima(_hashes(F.col("w"))).alias("minima"))
-        .collect()  # the templates themselves
+                _hashes(F.col("w")).alias("hashes"))
     )
-    if any(row["n"] < WORDS for row in known):
+    sizes = known.select("license", "n", F.size("wanted").alias("shingles")).collect()  # of the templates
+    if any(row["n"] < WORDS for row in sizes):
         raise ValueError(f"templates need {WORDS} words or more")
+    bands_of: dict[int, int] = {}
+    for row in sizes:
+        size = window_size(row["n"])
+        bands_of[size] = max(bands_of.get(size, 0), bands_for(row["shingles"], size))
+    most = max(bands_of.values(), default=BANDS)
+    known = known.withColumn("minima", _minima(F.col("hashes"), most)).collect()
     hashes_of: dict[int, set[int]] = {}
     for row in known:
         hashes_of.setdefault(window_size(row["n"]), set()).update(row["hashes"])
     bands = spark.createDataFrame(
         [
             (window_size(row["n"]), band, value, row["license"], row["wanted"])
-            for row in known for band, value in enumerate(row["minima"])
+            for row in known for band, value in enumerate(row["minima"][:bands_of[window_size(row["n"])]])
         ],
         "size int, band int, value long, license string, wanted array<string>",
     )
@@ -144,8 +164,11 @@ def scan(docs: DataFrame, templates: Mapping[str, str] = TEMPLATES) -> DataFrame
         )
         return F.filter(found, lambda x: F.arrays_overlap(x["h"], literal(hashes_of[size])))
 
+    minima = F.coalesce(*[
+        F.when(F.col("x.size") == size, _minima(F.col("x.h"), n)) for size, n in bands_of.items()
+    ])
     each = read_.select("row", "doc_id", F.explode(F.concat(*map(touched, hashes_of))).alias("x")).select(
-        "row", "doc_id", "x.size", "x.start", "x.w", F.posexplode(_minima(F.col("x.h"))).alias("band", "value")
+        "row", "doc_id", "x.size", "x.start", "x.w", F.posexplode(minima).alias("band", "value")
     )
     retrieved = (
         each.join(F.broadcast(bands), ["size", "band", "value"])

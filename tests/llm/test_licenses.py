@@ -84,3 +84,20 @@ def test_short_templates_are_refused(spark):
 def test_plan_has_no_python(spark, tmp_path):
     plan = op5_license_scan(spark, folder(documents(spark, corpus(n=5)), tmp_path / "in"))
     assert not re.search("Python|Arrow|Pandas", plan._jdf.queryExecution().executedPlan().toString())
+
+
+@pytest.mark.parametrize("name", sorted(TEMPLATES))
+def test_bands_miss_hardly_any_window(name):
+    found = re.findall(r"[^\W_]+", TEMPLATES[name].lower())
+    shingles = len({tuple(found[i : i + 5]) for i in range(len(found) - 4)})
+    size = window_size(len(found))
+    held = -(-75 * shingles // 100)
+    similarity = held / (size - 4 + shingles - held)
+    assert (1 - similarity) ** licenses.bands_for(shingles, size) <= 1.01e-6
+
+
+def test_short_notices_at_the_head_of_texts_are_all_found(spark):
+    rng = random.Random(1)
+    rows = [(i, f"{TEMPLATES['mit']} {' '.join(words(rng, 'de', 16))}") for i in range(3000)]
+    found = scan(spark.createDataFrame(rows, "doc_id long, text string"), {"mit": TEMPLATES["mit"]})
+    assert found.count() == 3000
