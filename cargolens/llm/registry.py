@@ -6,6 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
+from cargolens.llm.byte_pairs import op13_bpe
 from cargolens.llm.language import op4_language_id
 from cargolens.llm.licenses import op5_license_scan, scan_sql
 from cargolens.llm.near_duplicates import op7_minhash_dedup
@@ -28,6 +29,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_nearest_neighbours": op8_nearest_neighbours,
     "op9_substring_dedup": op9_substring_dedup,
     "op10_sharding": op10_sharding,
+    "op13_bpe": op13_bpe,
 }
 
 SQL: dict[str, str] = {"op3_quality_rules": OP3_SQL, "op5_license_scan": scan_sql()}
