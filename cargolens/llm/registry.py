@@ -15,8 +15,10 @@ from cargolens.llm.packing import op1_best_fit_packing
 from cargolens.llm.quality import OP3_SQL, op3_quality_rules
 from cargolens.llm.sentencepieces import op6_sentencepiece
 from cargolens.llm.sharding import op10_sharding
+from cargolens.llm.spelling import op12_spelling_variants
 from cargolens.llm.substrings import op9_substring_dedup
 from cargolens.llm.suffixes import op2_suffix_dedup
+from cargolens.llm.whitening import op11_whitening
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_best_fit_packing": op1_best_fit_packing,
@@ -29,6 +31,8 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_nearest_neighbours": op8_nearest_neighbours,
     "op9_substring_dedup": op9_substring_dedup,
     "op10_sharding": op10_sharding,
+    "op11_whitening": op11_whitening,
+    "op12_spelling_variants": op12_spelling_variants,
     "op13_bpe": op13_bpe,
 }
 
