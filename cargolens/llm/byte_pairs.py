@@ -13,8 +13,8 @@ bytes that they stand for are those of its words too.
 3. Back: ids and spelling return to each block by one shuffle, where every text's ids
    and its decoded text are put together by position.
 
-What is shuffled is a row per block and distinct word (twice), and each block once as
-packed word numbers.  A block is bounded by ``BLOCK`` characters (or is one longer text),
+What is shuffled is a row per block and distinct word, the ids of those words in bundles
+by block, and each block once as packed word numbers.  A block is bounded by ``BLOCK`` characters (or is one longer text),
 and a word is at most once in a block, so neither a frequent word nor a group of copies
 makes a large group.  ``decode`` does the same for any table of ids, by a broadcast join:
 the table of pieces has as many rows as the vocabulary.
@@ -46,13 +46,17 @@ import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 import xxhash
+import zstandard
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from cargolens.llm.common import Scratch, read, unused
 
-BLOCK = 32_000_000  # characters
-SLICE = 4_000_000  # characters split, or words put together, at a time
+BLOCK = 48_000_000  # characters
+SLICE = 4_000_000  # characters split at a time
+PUT_TOGETHER = 4_000_000  # words put together at a time
+BUNDLE = 200_000  # words of a task that are bundled by block at a time
+LEVEL = 3  # of compression
 
 # White space as the tokenizers library knows it; letters that are always
 # letters; marks that end a run of letters.
@@ -185,11 +189,16 @@ class _Block:
         encoded = pa.chunked_array(self.words, pa.string()).dictionary_encode().combine_chunks()
         if isinstance(encoded, pa.ChunkedArray):
             encoded = encoded.chunk(0) if encoded.num_chunks else pa.array([], pa.string()).dictionary_encode()
-        words = encoded.dictionary
+        # By frequency, as small numbers take less room.
+        counts = np.bincount(encoded.indices.to_numpy(), minlength=len(encoded.dictionary))
+        order = np.argsort(-counts, kind="stable")
+        rank = np.empty(len(order), np.uint32)
+        rank[order] = np.arange(len(order))
+        words = encoded.dictionary.take(pa.array(order))
         digest = xxhash.xxh64(repr((place, sum(self.counts))))
         digest.update(pc.binary_length(words).to_numpy().tobytes())
         digest.update("".join(words.to_pylist()))
-        return digest.intdigest() - (1 << 63), words, encoded.indices.to_numpy()
+        return digest.intdigest() - (1 << 63), words, rank[encoded.indices.to_numpy()]
 
 
 def _blocks(tokenizer_file: str, block: int) -> Callable[[Iterator[pa.RecordBatch]], Iterator]:
@@ -230,7 +239,8 @@ def _block_words(docs: DataFrame, tokenizer_file: str, block: int) -> DataFrame:
 
 def _packed(table: pa.Table) -> bytes:
     out = pa.BufferOutputStream()
-    with pa.ipc.new_stream(out, table.schema, options=pa.ipc.IpcWriteOptions(compression="zstd")) as writer:
+    options = pa.ipc.IpcWriteOptions(compression=pa.Codec("zstd", LEVEL))
+    with pa.ipc.new_stream(out, table.schema, options=options) as writer:
         writer.write_table(table)
     return out.getvalue().to_pybytes()
 
@@ -309,44 +319,108 @@ def _width(tokenizer_file: str) -> int:
     return 2 if len(_spelling(tokenizer_file)) <= 1 << 16 else 4
 
 
+def _bundle(numbers: np.ndarray, lengths: np.ndarray, ids: bytes) -> bytes:
+    """Numbers (rising) and ids of some words of a block; compressed if they are many."""
+    head = np.concatenate([np.diff(numbers, prepend=0), lengths]).astype("<u4")
+    many = len(numbers) > 50
+    planes = head.view(np.uint8).reshape(-1, 4).T.tobytes() if many else head.tobytes()
+    start = np.array([len(numbers), many], "<u4").tobytes()
+    return start + (zstandard.compress(planes + ids, LEVEL) if many else planes + ids)
+
+
+def _unbundle(data: bytes) -> tuple[np.ndarray, np.ndarray, bytes]:
+    n, many = (int(x) for x in np.frombuffer(data, "<u4", 2))
+    body = zstandard.decompress(data[8:]) if many else data[8:]
+    head = body[: 8 * n]
+    if many:
+        head = np.ascontiguousarray(np.frombuffer(head, np.uint8).reshape(4, -1).T).tobytes()
+    values = np.frombuffer(head, "<u4").astype(np.int64)
+    return np.cumsum(values[:n]), values[n:], body[8 * n :]
+
+
+def _bundled(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Encoded words, those of one block together; as many rows as a bundle has blocks."""
+
+    def rows(parts: list[pa.RecordBatch]) -> pa.RecordBatch:
+        table = pa.Table.from_batches(parts).combine_chunks()
+        blocks, numbers = table["block"].to_numpy(), table["number"].to_numpy()
+        order = np.lexsort((numbers, blocks))
+        blocks, numbers = blocks[order], numbers[order]
+        place = pa.array(order)
+        ids, surface = table["ids"].combine_chunks().take(place), table["surface"].combine_chunks().take(place)
+        lengths = pc.binary_length(ids).to_numpy()
+        borders = [0, *(np.flatnonzero(np.diff(blocks)) + 1), len(blocks)]
+        found = {"block": [], "words": [], "odd": []}
+        for start, end in zip(borders, borders[1:]):
+            own = surface.slice(start, end - start)
+            odd = [] if own.null_count == len(own) else [
+                {"number": int(numbers[start + k]), "spelling": x} for k, x in enumerate(own.to_pylist()) if x is not None
+            ]
+            data = b"".join(ids.slice(start, end - start).to_pylist())
+            found["block"].append(int(blocks[start]))
+            found["words"].append(_bundle(numbers[start:end], lengths[start:end], data))
+            found["odd"].append(odd)
+        kind = pa.list_(pa.struct([("number", pa.int32()), ("spelling", pa.binary())]))
+        return pa.record_batch(
+            {
+                "block": pa.array(found["block"], pa.int64()),
+                "words": pa.array(found["words"], pa.binary()),
+                "odd": pa.array(found["odd"], kind),
+            }
+        )
+
+    parts, size = [], 0
+    for batch in batches:
+        parts.append(batch)
+        size += batch.num_rows
+        if size >= BUNDLE:
+            yield rows(parts)
+            parts, size = [], 0
+    if size:
+        yield rows(parts)
+
+
 def encode_words(words: DataFrame, tokenizer_file: str) -> DataFrame:
-    """block, number, ids, surface for rows of block, number and word."""
+    """Rows of block, number and word as bundles of numbers and ids, several for each block."""
     width = _width(tokenizer_file)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        yield from _encoded(batches, _tokenizer(tokenizer_file), _spelling(tokenizer_file), width)
+        yield from _bundled(_encoded(batches, _tokenizer(tokenizer_file), _spelling(tokenizer_file), width))
 
     together = words.repartition("word").sortWithinPartitions("word")
-    return together.mapInArrow(run, "block long, number int, ids binary, surface binary")
+    return together.mapInArrow(run, "block long, words binary, odd array<struct<number: int, spelling: binary>>")
 
 
 def _put_together(texts: pa.Table, found: pa.Table, width: int, digests: bool) -> Iterator[pa.Table]:
     """The documents of one block, from its numbers and its part of the word table."""
     if not texts.num_rows:
         return
-    place = np.empty(found.num_rows, np.int64)
-    place[found["number"].to_numpy()] = np.arange(found.num_rows)
-    place = pa.array(place)
+    bundles = [_unbundle(x) for x in found["words"].to_pylist()]
+    numbers_found = np.concatenate([x for x, _, _ in bundles] or [np.empty(0, np.int64)])
+    place = np.empty(len(numbers_found), np.int64)
+    place[numbers_found] = np.arange(len(place))
+    lengths = np.concatenate([x for _, x, _ in bundles] or [np.empty(0, np.int64)]) // width
+    flat = np.frombuffer(b"".join([x for _, _, x in bundles]), f"<u{width}").astype(np.int32)
+    ids = _lists(pa.array(flat), lengths).take(pa.array(place))
+    n_ids = lengths[place]
+    shown = _joined(ids.flatten().cast(pa.large_string()), n_ids, ",")
+    del bundles, flat
+    odd = {x["number"]: x["spelling"] for row in found["odd"].to_pylist() for x in row}
     for row in texts.to_pylist():
         documents, words = _unpacked(row["documents"]), _unpacked(row["words"])["word"].combine_chunks()
         planes = _unpacked(row["numbers"])["n"].to_numpy()
-        numbers = np.ascontiguousarray(planes.reshape(4, -1).T).view("<u4").ravel().astype(np.int64)
-        if found.num_rows != len(words):
+        numbers = np.ascontiguousarray(planes.reshape(4, -1).T).view("<u4").ravel()
+        if len(place) != len(words):
             raise ValueError("the documents were not the same when they were read again")
-        packed = found["ids"].combine_chunks().take(place)
-        n_ids = pc.binary_length(packed).to_numpy().astype(np.int64) // width
-        flat = np.frombuffer(b"".join(packed.to_pylist()), f"<u{width}").astype(np.int32)
-        ids = _lists(pa.array(flat), n_ids)
-        shown = _joined(pa.array(flat).cast(pa.large_string()), n_ids, ",")
-        surface = found["surface"].combine_chunks().take(place)
-        odd = surface.null_count < len(surface)
-        spelled = pc.coalesce(surface, words.cast(pa.binary())).cast(pa.large_binary())
+        spelled = words.cast(pa.large_binary())
+        if odd:
+            spelled = pa.array([odd.get(k, x) for k, x in enumerate(spelled.to_pylist())], pa.large_binary())
 
         counts = documents["count"].to_numpy().astype(np.int64)
         starts = np.concatenate([[0], np.cumsum(counts)])
         first = 0
         while first < len(counts):
-            last = max(first + 1, int(np.searchsorted(starts, starts[first] + SLICE, "right")) - 1)
+            last = max(first + 1, int(np.searchsorted(starts, starts[first] + PUT_TOGETHER, "right")) - 1)
             part = pa.array(numbers[starts[first] : starts[last]])
             own = counts[first:last]
             per_document = np.add.reduceat(np.append(n_ids[part.to_numpy()], 0), starts[first:last] - starts[first])

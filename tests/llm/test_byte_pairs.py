@@ -82,6 +82,47 @@ def test_a_word_is_encoded_once(library):
     assert all(r["surface"] is None for r in rows)
 
 
+@pytest.mark.parametrize("size", [1, 3, 10**6])
+def test_bundles_hold_every_word_once(monkeypatch, size):
+    monkeypatch.setattr(byte_pairs, "BUNDLE", size)
+    rng = random.Random(1)
+    rows = [(rng.choice([-5, 0, 9]), k, rng.randbytes(2 * rng.randint(1, 4)), b"x" if k % 50 == 0 else None) for k in range(300)]
+    rng.shuffle(rows)
+    schema = pa.schema([("block", pa.int64()), ("number", pa.int32()), ("ids", pa.binary()), ("surface", pa.binary())])
+    batches = pa.Table.from_pylist([dict(zip(schema.names, r)) for r in rows], schema).to_batches(40)
+    found, odd = [], []
+    for batch in byte_pairs._bundled(iter(batches)):
+        for row in batch.to_pylist():
+            numbers, lengths, ids = byte_pairs._unbundle(row["words"])
+            ends = np.cumsum(lengths)
+            found += [(row["block"], n, ids[e - k : e]) for n, k, e in zip(numbers, lengths, ends)]
+            odd += [(row["block"], x["number"], x["spelling"]) for x in row["odd"]]
+    assert sorted(found) == sorted((b, n, i) for b, n, i, _ in rows)
+    assert sorted(odd) == sorted((b, n, s) for b, n, _, s in rows if s)
+
+
+def test_words_that_are_spelled_otherwise(spark):
+    """A spelling that is not the word itself is what the text decodes to."""
+    texts = byte_pairs._Block()
+    split = [["a", " b", " b"], ["é", "a"]]
+    texts.add(pa.array([1, 2]), split, 9)
+    name, words, numbers = texts.numbered((0, 0))
+    assert words.to_pylist() == [" b", "a", "é"] or words.to_pylist() == ["a", " b", "é"]
+    at = {w: k for k, w in enumerate(words.to_pylist())}
+    ids = {"a": 7, " b": 8, "é": 9}
+    data = np.array([ids[w] for w in words.to_pylist()], "<u2").tobytes()
+    bundle = byte_pairs._bundle(np.arange(3), np.full(3, 2), data)
+    planes = np.ascontiguousarray(numbers.astype("<u4").view(np.uint8).reshape(-1, 4).T).ravel()
+    found = pa.table({"words": [bundle], "odd": [[{"number": at["é"], "spelling": b"\xc3"}]]})
+    block = pa.table({
+        "documents": [byte_pairs._packed(pa.table({"doc_id": [1, 2], "count": pa.array([3, 2], pa.int32())}))],
+        "numbers": [byte_pairs._packed(pa.table({"n": planes}))],
+        "words": [byte_pairs._packed(pa.table({"word": words}))],
+    })
+    (out,) = byte_pairs._put_together(block, found, 2, False)
+    assert out["ids"].to_pylist() == [[7, 8, 8], [9, 7]] and out["decoded"].to_pylist() == ["a b b", "\ufffda"]
+
+
 def test_shuffles_are_by_word_and_by_block_alone(spark, tmp_path):
     folder(documents(spark, corpus()), tmp_path / "in")
     plan = op13_bpe(spark, str(tmp_path / "in"))._jdf.queryExecution().executedPlan().toString()
