@@ -54,7 +54,7 @@ from cargolens.llm.common import Scratch, read, unused
 
 BLOCK = 48_000_000  # characters
 SLICE = 4_000_000  # characters split at a time
-PUT_TOGETHER = 4_000_000  # words put together at a time
+PUT_TOGETHER = 1_000_000  # words put together at a time
 BUNDLE = 200_000  # words of a task that are bundled by block at a time
 LEVEL = 3  # of compression
 
@@ -440,6 +440,7 @@ def _put_together(texts: pa.Table, found: pa.Table, width: int, digests: bool) -
                 columns["decoded"] = pa.array([x.decode() for x in decoded], pa.string())
             yield pa.table(columns)
             first = last
+    pa.default_memory_pool().release_unused()
 
 
 def encode(docs: DataFrame, tokenizer_file: str, digests: bool = False, block: int = BLOCK) -> DataFrame:
