@@ -5,7 +5,7 @@ from __future__ import annotations
 from collections.abc import Mapping, Sequence
 from functools import reduce
 
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
 
 from cargolens.operators.profiling import duplicate_keys
 
@@ -68,13 +68,17 @@ def enforce(violations: DataFrame, table: str) -> None:
         raise ConstraintViolation(found)
 
 
-def expectation(df: DataFrame, check: str, expected, actual) -> DataFrame:
-    """One row (check, expected, actual, passed) from a one-row result."""
-    return df.select(
-        F.lit(check).alias("check_name"),
-        expected.cast("long").alias("expected"),
-        actual.cast("long").alias("actual"),
-    ).withColumn("passed", F.equal_null("expected", "actual"))
+def expectations(df: DataFrame, tests: Mapping[str, tuple[Column, Column]]) -> DataFrame:
+    """A row (check, expected, actual, passed) for each test of one one-row result."""
+    rows = [
+        F.struct(
+            F.lit(check).alias("check_name"),
+            expected.cast("long").alias("expected"),
+            actual.cast("long").alias("actual"),
+        )
+        for check, (expected, actual) in tests.items()
+    ]
+    return df.select(F.inline(F.array(*rows))).withColumn("passed", F.equal_null("expected", "actual"))
 
 
 def release(checks: DataFrame) -> None:

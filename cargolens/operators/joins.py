@@ -7,6 +7,8 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, functions as F
 
+from cargolens.workspace import reads_a_table
+
 # As many keys are looked for as there are shuffle partitions, as no more can hold more
 # rows than a partition should; the sketch tracks ten times as many, up to what it can.
 MOST_HOT = 100_000
@@ -16,50 +18,155 @@ _TRACKED_FOR_EACH = 10
 _PIECES_PER_PARTITION = 4
 
 
+# Column metadata of written tables: rows of the table and mean bytes of a value in memory.
+ROWS, WIDTH = "cargolens.rows", "cargolens.width"
+_ROW_OVERHEAD = 32  # of a row in a hash table, beside its values
+
+
 def plan_bytes(df: DataFrame) -> int:
-    """The optimizer's size estimate (file sizes for written tables)."""
+    """The optimizer's size estimate (compressed file sizes for written tables)."""
     stats = df._jdf.queryExecution().optimizedPlan().stats()
     return int(str(stats.sizeInBytes()))
 
 
+def memory_bytes(df: DataFrame) -> int | None:
+    """What the columns of a written table take in memory, if they say so.
+
+    Layers count rows and add up lengths while they write a table, and the columns carry
+    the result wherever they are selected.  A filtered table counts as a whole.
+    """
+    known = [field.metadata for field in df.schema.fields]
+    if not known or any(ROWS not in x for x in known) or not reads_a_table(df):
+        return None
+    return max(x[ROWS] for x in known) * (_ROW_OVERHEAD + sum(8 + x[WIDTH] for x in known))
+
+
 def broadcast_limit(df: DataFrame) -> int:
     state = df.sparkSession._jsparkSession.sessionState()
     return int(state.conf().autoBroadcastJoinThreshold())
 
 
 def fits_broadcast(df: DataFrame) -> bool:
-    return plan_bytes(df) <= broadcast_limit(df)
+    """By size in memory where it is known, else by the optimizer's estimate."""
+    size = memory_bytes(df)
+    return (plan_bytes(df) if size is None else size) <= broadcast_limit(df)
 
 
 def shuffle_partitions(df: DataFrame) -> int:
     return int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
 
 
-def hot_keys(rows: DataFrame, key_hash: Column) -> list[tuple[int, int]]:
-    """(hash, pieces) of keys holding more rows than a shuffle partition should.
+def hot_keys_together(rows: DataFrame, key_hashes: Sequence[Column]) -> list[list[tuple[int, int]]]:
+    """For each key, (hash, pieces) of values holding more rows than a shuffle partition should.
 
-    One bounded-size sketch per task, no shuffle of keys.  The answer only
-    steers how rows are spread, so an estimate is enough for exact results.
-    A key is cut in proportion to its share, so all pieces together are at most
-    a few times the partitions plus the number of hot keys.
+    One scan whatever the number of keys: every task fills a sketch of bounded size for
+    each, and no key is shuffled.  The answer only steers how rows are spread, so an
+    estimate is enough for exact results.  A value is cut in proportion to its share, so
+    all pieces together are at most a few times the partitions plus the number of hot
+    values.
     """
     partitions = shuffle_partitions(rows)
     most = max(1, min(partitions, MOST_HOT))
-    sketch = F.expr(f"approx_top_k(h, {most}, {most * _TRACKED_FOR_EACH})")
+    names = [f"h{i}" for i in range(len(key_hashes))]
     row = (
-        rows.select(key_hash.alias("h"))
-        .agg(F.count("*").alias("n"), sketch.alias("top"))
+        rows.select(*[key.alias(name) for key, name in zip(key_hashes, names)])
+        .agg(
+            F.count("*").alias("n"),
+            *[F.expr(f"approx_top_k({h}, {most}, {most * _TRACKED_FOR_EACH})").alias(h) for h in names],
+        )
         .first()
     )
     total = row["n"]
     least = total / most
     return [
-        (item["item"], math.ceil(item["count"] * partitions * _PIECES_PER_PARTITION / total))
-        for item in row["top"] or []
-        if item["count"] > least
+        [
+            (item["item"], math.ceil(item["count"] * partitions * _PIECES_PER_PARTITION / total))
+            for item in row[name] or []
+            if item["count"] > least
+        ]
+        for name in names
     ]
 
 
+def hot_keys(rows: DataFrame, key_hash: Column) -> list[tuple[int, int]]:
+    """``hot_keys_together`` for a single key."""
+    return hot_keys_together(rows, [key_hash])[0]
+
+
+class Lookup:
+    """A table that is unique on its key, and the columns of the rows that refer to it.
+
+    NULL keys match nothing.  Key columns that are named like a column of the rows appear
+    once in the result.
+    """
+
+    def __init__(self, dimension: DataFrame, on: Sequence[tuple[str, str]] | Sequence[str]):
+        self.dimension = dimension
+        self.pairs = [(key, key) if isinstance(key, str) else key for key in on]
+
+    def _keyed(self, rows: DataFrame) -> DataFrame:
+        """The table with key columns of names of their own, so that no name is ambiguous."""
+        keys = [F.col(b).cast(rows.schema[a].dataType).alias(f"__{b}") for a, b in self.pairs]
+        return self.dimension.select("*", *keys).drop(*[b for _, b in self.pairs if b in rows.columns])
+
+    def _same_key(self) -> list[Column]:
+        return [F.col(a) == F.col(f"__{b}") for a, b in self.pairs]
+
+    @property
+    def row_hash(self) -> Column:
+        return F.xxhash64(*[F.col(a) for a, _ in self.pairs])
+
+    def join(
+        self, rows: DataFrame, hot: list[tuple[int, int]], spread_by: Sequence[str] | None = None
+    ) -> DataFrame:
+        """Inner join; the rows of a hot key are cut into pieces when they are shuffled."""
+        keyed = self._keyed(rows)
+        wanted = [*rows.columns, *[name for name in keyed.columns if not name.startswith("__")]]
+        if fits_broadcast(self.dimension):
+            return rows.join(F.broadcast(keyed), self._same_key(), "inner").select(*wanted)
+        if memory_bytes(self.dimension) is not None:
+            keyed = keyed.hint("merge")  # the planner would go by compressed file sizes
+        if not hot:
+            return rows.join(keyed, self._same_key(), "inner").select(*wanted)
+
+        # At most MOST_HOT rows of two numbers.
+        pieces = F.broadcast(rows.sparkSession.createDataFrame(hot, "__hash long, __pieces int"))
+        piece = F.pmod(F.xxhash64(*(spread_by or rows.columns)), F.coalesce("__pieces", F.lit(1)))
+        cut_rows = rows.withColumn("__hash", self.row_hash).join(pieces, "__hash", "left")
+        cut_rows = cut_rows.select(*rows.columns, piece.alias("__piece"))
+        last = F.coalesce("__pieces", F.lit(1)).cast("long") - 1
+        every_piece = F.explode(F.sequence(F.lit(0).cast("long"), last))
+        dimension_hash = F.xxhash64(*[F.col(f"__{b}") for _, b in self.pairs])
+        copies = keyed.withColumn("__hash", dimension_hash).join(pieces, "__hash", "left")
+        copies = copies.select(*keyed.columns, every_piece.alias("__copy"))
+        same_piece = F.col("__piece") == F.col("__copy")
+        return cut_rows.join(copies, [*self._same_key(), same_piece], "inner").select(*wanted)
+
+
+def lookup_joins(
+    rows: DataFrame,
+    lookups: Sequence[Lookup],
+    keys_from: DataFrame | None = None,
+    spread_by: Sequence[str] | None = None,
+) -> DataFrame:
+    """Inner equi-joins of ``rows`` with several lookup tables, one after the other.
+
+    A table below the broadcast limit (by its size in memory, see ``memory_bytes``) is
+    broadcast.  For each other one both sides are shuffled once, with the rows of a hot
+    key cut into pieces and its one row repeated per piece, so no task receives a whole
+    hot key.  The hot keys of all of them are looked for in one scan of ``keys_from``, a
+    table with the same key columns; without it ``rows`` should be a table itself.
+    ``spread_by`` columns tell the rows of one key apart (by default all columns).
+    """
+    shuffled = [x for x in lookups if not fits_broadcast(x.dimension)]
+    source = keys_from if keys_from is not None else rows
+    found = hot_keys_together(source, [x.row_hash for x in shuffled]) if shuffled else []
+    hot = {id(x): keys for x, keys in zip(shuffled, found)}
+    for lookup in lookups:
+        rows = lookup.join(rows, hot.get(id(lookup), []), spread_by)
+    return rows
+
+
 def lookup_join(
     rows: DataFrame,
     dimension: DataFrame,
@@ -68,50 +175,15 @@ def lookup_join(
     spread_by: Sequence[str] | None = None,
     rows_unique: bool = False,
 ) -> DataFrame:
-    """Inner equi-join of ``rows`` with a table that is unique on its key.
-
-    A dimension below the broadcast limit is broadcast.  Beyond it both sides
-    are shuffled once, with the rows of a hot key cut into pieces and its one
-    dimension row repeated per piece, so no task receives a whole hot key.
-    NULL keys match nothing.
+    """``lookup_joins`` with one table.
 
     ``rows_unique`` says that ``rows`` has one row per key (it was grouped by it), so no
-    key can be hot and none is looked for.  Otherwise ``keys_from`` names a table with the
-    same key columns to look for hot keys in, as the search reads it once more; without it
-    ``rows`` should be a table itself.  ``spread_by`` columns that tell the rows of one key apart
-    (by default all columns).  Key columns of the dimension that are named
-    like a column of ``rows`` appear once.
+    key can be hot and none is looked for.
     """
-    pairs = [(key, key) if isinstance(key, str) else key for key in on]
-    # Key columns get names of their own, so every name below is unambiguous.
-    keyed = dimension.select(
-        "*", *[F.col(b).cast(rows.schema[a].dataType).alias(f"__{b}") for a, b in pairs]
-    ).drop(*[b for _, b in pairs if b in rows.columns])
-    wanted = [*rows.columns, *[name for name in keyed.columns if not name.startswith("__")]]
-    same_key = [F.col(a) == F.col(f"__{b}") for a, b in pairs]
-
-    if fits_broadcast(dimension):
-        return rows.join(F.broadcast(keyed), same_key, "inner").select(*wanted)
-
+    lookup = Lookup(dimension, on)
     if rows_unique:
-        return rows.join(keyed, same_key, "inner").select(*wanted)
-    row_hash = F.xxhash64(*[F.col(a) for a, _ in pairs])
-    hot = hot_keys(keys_from if keys_from is not None else rows, row_hash)
-    if not hot:
-        return rows.join(keyed, same_key, "inner").select(*wanted)
-
-    # At most MOST_HOT rows of two numbers.
-    pieces = F.broadcast(rows.sparkSession.createDataFrame(hot, "__hash long, __pieces int"))
-    piece = F.pmod(F.xxhash64(*(spread_by or rows.columns)), F.coalesce("__pieces", F.lit(1)))
-    cut_rows = rows.withColumn("__hash", row_hash).join(pieces, "__hash", "left")
-    cut_rows = cut_rows.select(*rows.columns, piece.alias("__piece"))
-    last = F.coalesce("__pieces", F.lit(1)).cast("long") - 1
-    every_piece = F.explode(F.sequence(F.lit(0).cast("long"), last))
-    dimension_hash = F.xxhash64(*[F.col(f"__{b}") for _, b in pairs])
-    copies = keyed.withColumn("__hash", dimension_hash).join(pieces, "__hash", "left")
-    copies = copies.select(*keyed.columns, every_piece.alias("__copy"))
-    matched = cut_rows.join(copies, [*same_key, F.col("__piece") == F.col("__copy")], "inner")
-    return matched.select(*wanted)
+        return lookup.join(rows, [])
+    return lookup_joins(rows, [lookup], keys_from, spread_by)
 
 
 def unmatched_keys(

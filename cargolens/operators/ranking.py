@@ -1,60 +1,158 @@
-"""Global ordering without a single-partition window.
-
-A window that orders the whole input runs in one task.  Here the input is
-range-partitioned on the full sort key (ties included, so a value shared by a
-third of all rows still spreads as long as later sort columns differ), sorted
-inside each range, and written once to the shared folder with its position.
-Only one small row per range is then needed to turn local positions and local
-sums into global ones.
+"""Global ordering with one exchange of the rows and no window over all of them.
+
+A window that orders the whole input runs in one task.  Here the rows are dealt into
+ranges of the sort key:
+
+1. A bounded sample of keys gives cut points over the whole key, ties included, so a
+   value that a third of all rows share still spreads as long as later columns differ.
+2. Rows are counted, and the value is added up, per range before anything is shuffled.
+   One small row per range then tells what comes before it.
+3. The rows are shuffled once, by range number, one range to a task.  A window over
+   each range gives local rank and running sum together; what comes before is added as
+   constants.  Ranges follow each other in order, so the result comes sorted.
+
+The key columns are read three times and the rows once.  An input that is more than a
+filtered or projected table is written first, so it is computed once.
 """
 
 from __future__ import annotations
 
+import re
 from collections.abc import Sequence
+from dataclasses import dataclass
+from decimal import localcontext
+from itertools import accumulate
+from math import ceil
 
-from pyspark.sql import Column, DataFrame, Window, functions as F
+from pyspark.sql import Column, DataFrame, Row, Window, functions as F, types as T
 
-from cargolens.workspace import Workspace
+from cargolens.workspace import Workspace, reads_a_table
 
-_POSITION = "__position"
 _RANGE = "__range"
-_ROW_BITS = 33  # monotonically_increasing_id: task number above, row number below
+MOST_RANGES = 4096  # cut points are constants of the plan
+ROWS_PER_RANGE = 100_000  # smaller inputs get fewer ranges than there are partitions
+_SAMPLED_PER_RANGE = 40
+
+
+@dataclass(frozen=True)
+class _Key:
+    """A sorted column: its name, direction and where NULLs go."""
+
+    name: str
+    descending: bool
+    nulls_first: bool
+
+    @classmethod
+    def of(cls, column: Column, df: DataFrame) -> _Key:
+        found = re.fullmatch(r"Column<'(.+?)(?: (ASC|DESC) NULLS (FIRST|LAST))?'>", str(column))
+        if not found or found[1] not in df.columns:
+            raise ValueError(f"{column} is no column of the input, such as 'a' or F.col('a').desc()")
+        return cls(found[1], found[2] == "DESC", found[3] != "LAST")
+
+    def after(self, cut: Column) -> Column:
+        """Whether the column's value comes after ``cut``."""
+        value = F.col(self.name)
+        beyond = value < cut if self.descending else value > cut
+        if self.nulls_first:
+            return F.coalesce(beyond, cut.isNull() & value.isNotNull())
+        return F.coalesce(beyond, value.isNull() & cut.isNotNull())
+
+
+def _literals(values: Sequence, data_type: T.DataType) -> Column:
+    """An array of constants, which the optimizer folds into one."""
+
+    def constant(value) -> Column:
+        if value is not None and isinstance(data_type, T.TimestampNTZType):
+            value = value.isoformat(sep=" ")
+        return F.lit(value).cast(data_type)
+
+    return F.array(*map(constant, values))
+
+
+def _cut_points(df: DataFrame, order: Sequence[Column], keys: Sequence[_Key], total: int, ranges: int) -> list[Row]:
+    """Keys that divide the rows into about ``ranges`` equal parts, in order."""
+    if ranges < 2:
+        return []
+    fraction = min(1.0, 1.2 * ranges * _SAMPLED_PER_RANGE / total)
+    names = list(dict.fromkeys(key.name for key in keys))
+    sample = df.select(*names).sample(fraction, seed=17)
+    # The sample is small, whatever the input: some rows for each range.
+    rows = sample.repartition(1).sortWithinPartitions(*order).collect()
+    step = len(rows) / ranges
+    cuts = [rows[int(step * i)] for i in range(1, ranges)] if rows else []
+    return [cut for i, cut in enumerate(cuts) if i == 0 or cut != cuts[i - 1]]
+
+
+def _range_number(df: DataFrame, keys: Sequence[_Key], cuts: Sequence[Row]) -> Column:
+    """How many cut points a row's key has reached, by binary search."""
+    if not cuts:
+        return F.lit(0)
+    arrays = {key.name: _literals([cut[key.name] for cut in cuts], df.schema[key.name].dataType) for key in keys}
+
+    def reached(i: Column) -> Column:
+        result = F.lit(True)
+        for key in reversed(keys):
+            cut = F.get(arrays[key.name], i)
+            result = key.after(cut) | (F.col(key.name).eqNullSafe(cut) & result)
+        return result
+
+    steps = F.array(*[F.lit(1 << b) for b in reversed(range(len(cuts).bit_length()))])
+    return F.aggregate(
+        steps,
+        F.lit(0),
+        lambda at, step: F.when((at + step <= len(cuts)) & reached(at + step - 1), at + step).otherwise(at),
+    )
 
 
-def _stage(df: DataFrame, order: Sequence[Column], workspace: Workspace | None) -> DataFrame:
-    workspace = workspace or Workspace(df.sparkSession)
-    ordered = df.orderBy(*order).withColumn(_POSITION, F.monotonically_increasing_id())
-    staged = workspace.materialize(ordered, "ordered")
-    return staged.withColumn(_RANGE, F.shiftright(_POSITION, _ROW_BITS))
+@dataclass(frozen=True)
+class _Dealt:
+    """Rows shuffled by range, and for each range what comes before it."""
 
+    rows: DataFrame
+    counts: list[int]
+    sums: list  # of the value, NULL where a range has none
 
-def _local_rank() -> Column:
-    return F.col(_POSITION).bitwiseAND(F.lit((1 << _ROW_BITS) - 1)) + 1
+    @property
+    def total(self) -> int:
+        return sum(self.counts)
 
+    def rows_before(self) -> Column:
+        before = [0, *accumulate(self.counts)][: len(self.counts)]
+        return F.get(_literals(before, T.LongType()), F.col(_RANGE))
 
-def _range_offsets(staged: DataFrame, value: str | None = None) -> DataFrame:
-    """One row per sort range: what comes before it, and the grand totals.
+    def _running_sums(self) -> list:
+        """What is added up before each range, and at last in all; NULL while there is nothing."""
+        with localcontext(prec=80):  # decimals are added exactly
+            return [None, *accumulate(self.sums, lambda x, y: x if y is None else y if x is None else x + y)]
 
-    The unpartitioned windows below see one row per range, i.e. at most
-    ``spark.sql.shuffle.partitions`` rows however large the input is.
-    """
-    measures = [F.count("*").alias("__n")]
-    if value:
-        measures.append(F.sum(value).alias("__s"))
-    per_range = staged.groupBy(_RANGE).agg(*measures)
-    before = Window.orderBy(_RANGE).rowsBetween(Window.unboundedPreceding, -1)
-    everything = Window.partitionBy()
-    columns = [
-        F.col(_RANGE),
-        F.coalesce(F.sum("__n").over(before), F.lit(0)).alias("__rows_before"),
-        F.sum("__n").over(everything).alias("__rows"),
-    ]
-    if value:
-        columns += [
-            F.sum("__s").over(before).alias("__sum_before"),
-            F.sum("__s").over(everything).alias("__sum"),
-        ]
-    return per_range.select(*columns)
+    def sum_before(self, data_type: T.DataType) -> Column:
+        return F.get(_literals(self._running_sums()[:-1], data_type), F.col(_RANGE))
+
+    def sum_of_all(self, data_type: T.DataType) -> Column:
+        return F.lit(self._running_sums()[-1]).cast(data_type)
+
+
+def _deal(
+    df: DataFrame,
+    order: Sequence[Column],
+    workspace: Workspace | None,
+    value: str | None = None,
+    rows_per_range: int = ROWS_PER_RANGE,
+) -> _Dealt:
+    keys = [_Key.of(column, df) for column in order]
+    if not reads_a_table(df):
+        df = (workspace or Workspace(df.sparkSession)).materialize(df, "unordered")
+    total = df.count()
+    partitions = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    ranges = min(partitions, MOST_RANGES, ceil(total / rows_per_range))
+    cuts = _cut_points(df, order, keys, total, ranges)
+    numbered = df.withColumn(_RANGE, _range_number(df, keys, cuts))
+    measures = [F.count("*").alias("n")] + ([F.sum(value).alias("s")] if value else [])
+    found = {r[_RANGE]: r for r in numbered.groupBy(_RANGE).agg(*measures).collect()}  # a row per range
+    parts = range(len(cuts) + 1)
+    counts = [found[i]["n"] if i in found else 0 for i in parts]
+    sums = [found[i]["s"] if value and i in found else None for i in parts]
+    return _Dealt(numbered.repartitionById(len(parts), F.col(_RANGE)), counts, sums)
 
 
 def global_rank(
@@ -63,17 +161,17 @@ def global_rank(
     name: str = "row_rank",
     total: str | None = None,
     workspace: Workspace | None = None,
+    rows_per_range: int = ROWS_PER_RANGE,
 ) -> DataFrame:
     """``row_number()`` over the whole input; ``total`` names a row-count column.
 
-    ``order`` must end in columns that make it unique for a repeatable result.
+    ``order`` holds columns of the input with their directions and must end in columns that make it
+    unique for a repeatable result.  Rows come in that order.
     """
-    staged = _stage(df, order, workspace)
-    ranked = staged.join(F.broadcast(_range_offsets(staged)), _RANGE).withColumn(
-        name, _local_rank() + F.col("__rows_before")
-    )
-    extra = [F.col("__rows").alias(total)] if total else []
-    return ranked.select(*df.columns, name, *extra)
+    dealt = _deal(df, order, workspace, rows_per_range=rows_per_range)
+    local = F.row_number().over(Window.partitionBy(_RANGE).orderBy(*order))
+    extra = [F.lit(dealt.total).cast("long").alias(total)] if total else []
+    return dealt.rows.select(*df.columns, (local + dealt.rows_before()).alias(name), *extra)
 
 
 def global_cumulative(
@@ -85,26 +183,20 @@ def global_cumulative(
     total: str = "grand_total",
     rows: str = "total_rows",
     workspace: Workspace | None = None,
+    rows_per_range: int = ROWS_PER_RANGE,
 ) -> DataFrame:
-    """Global rank, running sum of ``value`` in that order, and both totals."""
-    staged = _stage(df, order, workspace)
-    type_of_sum = staged.agg(F.sum(value).alias("s")).schema["s"].dataType
-    so_far = (
-        Window.partitionBy(_RANGE)
-        .orderBy(_POSITION)
-        .rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    )
-    local_sum, sum_before = F.sum(value).over(so_far), F.col("__sum_before")
-    ranked = staged.withColumn("__local", local_sum).join(
-        F.broadcast(_range_offsets(staged, value)), _RANGE
-    )
-    carried = F.coalesce(F.col("__local") + sum_before, F.col("__local"), sum_before)
-    return ranked.select(
+    """Global rank, running sum of ``value`` in that order, and both totals; sorted by rank."""
+    dealt = _deal(df, order, workspace, value, rows_per_range)
+    type_of_sum = df.agg(F.sum(value).alias("s")).schema["s"].dataType
+    within = Window.partitionBy(_RANGE).orderBy(*order)
+    local = F.sum(value).over(within.rowsBetween(Window.unboundedPreceding, Window.currentRow))
+    before = dealt.sum_before(type_of_sum)
+    return dealt.rows.select(
         *df.columns,
-        (_local_rank() + F.col("__rows_before")).alias(rank),
-        carried.cast(type_of_sum).alias(running),
-        F.col("__sum").cast(type_of_sum).alias(total),
-        F.col("__rows").alias(rows),
+        (F.row_number().over(within) + dealt.rows_before()).alias(rank),
+        F.coalesce(local + before, local, before).cast(type_of_sum).alias(running),
+        dealt.sum_of_all(type_of_sum).alias(total),
+        F.lit(dealt.total).cast("long").alias(rows),
     )
 
 
@@ -124,9 +216,10 @@ def global_ntile(
     order: Sequence[Column],
     name: str = "bucket",
     workspace: Workspace | None = None,
+    rows_per_range: int = ROWS_PER_RANGE,
 ) -> DataFrame:
     """``ntile(buckets)`` over the whole input."""
-    ranked = global_rank(df, order, "__rank", "__rows_total", workspace)
+    ranked = global_rank(df, order, "__rank", "__rows_total", workspace, rows_per_range)
     bucket = ntile_from_rank(F.col("__rank"), F.col("__rows_total"), buckets)
     return ranked.select(*df.columns, bucket.alias(name))
 
@@ -136,10 +229,11 @@ def assign_dense_key(
     natural_key: Sequence[str],
     name: str,
     workspace: Workspace | None = None,
+    rows_per_range: int = ROWS_PER_RANGE,
 ) -> DataFrame:
     """Surrogate keys 1..N in natural-key order: no gaps, same on every run."""
     order = [F.col(column).asc_nulls_last() for column in natural_key]
-    keyed = global_rank(df, order, name, workspace=workspace)
+    keyed = global_rank(df, order, name, workspace=workspace, rows_per_range=rows_per_range)
     return keyed.select(name, *df.columns)
 
 

@@ -207,7 +207,7 @@ def worst_products(star: Star, least_items: int = 200, top: int = 20) -> DataFra
 
 
 def loss_concentration(star: Star) -> DataFrame:
-    """Loss-making products by rank, with single and cumulative shares."""
+    """Loss-making products in order of rank, with single and cumulative shares."""
     losses = product_losses(star).withColumn("loss", F.abs("negative_profit"))
     ranked = global_cumulative(losses, "loss", _loss_order(), "loss_rank", workspace=star.workspace)
     return ranked.select(
@@ -216,7 +216,7 @@ def loss_concentration(star: Star) -> DataFrame:
         money(F.col("negative_profit")).alias("negative_profit"),
         ratio_pct(F.col("loss"), F.col("grand_total")).alias("negative_profit_share_pct"),
         ratio_pct(F.col("running_total"), F.col("grand_total")).alias("cumulative_negative_profit_pct"),
-    ).orderBy("loss_rank")
+    )
 
 
 def _by_discount_band(star: Star) -> DataFrame:
@@ -334,7 +334,7 @@ def _best_customers_first() -> list[Column]:
 
 
 def customer_concentration(star: Star) -> DataFrame:
-    """Customers by profit; the curve may pass 100 % before the losses."""
+    """Customers in order of profit; the curve may pass 100 % before the losses."""
     per_customer = (
         star.fact.groupBy("customer_key", "order_id")
         .agg(F.sum(SALES).alias("sales"), F.sum(PROFIT).alias("profit"))
@@ -361,7 +361,7 @@ def customer_concentration(star: Star) -> DataFrame:
         money(F.col("total_profit")).alias("total_profit"),
         ratio_pct(F.col("profit_rank"), F.col("total_customers")).alias("cumulative_customer_pct"),
         ratio_pct(F.col("cumulative_profit"), F.col("company_profit")).alias("cumulative_profit_pct"),
-    ).orderBy("profit_rank")
+    )
 
 
 def service_by_customer_value(star: Star) -> DataFrame:

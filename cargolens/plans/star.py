@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, functions as F, types as T
 
 from cargolens import schemas as S
 from cargolens.functions.dates import calendar_columns, date_key
-from cargolens.operators.joins import lookup_join, unmatched_keys
+from cargolens.operators.joins import Lookup, lookup_joins, unmatched_keys
 from cargolens.operators.ranking import assign_dense_key
 from cargolens.workspace import Workspace
 
@@ -98,11 +98,13 @@ def build_fact(
     needed = {*measures, *S.DESTINATION_ATTRIBUTES, *S.PROFILE_ATTRIBUTES,
               "customer_id", "product_card_id", "order_timestamp", "shipping_timestamp"}
     rows = silver.select(*[name for name in silver.columns if name in needed])
-    for table, spec in (
-        (profile, PROFILE), (destination, DESTINATION), (product, PRODUCT), (customer, CUSTOMER)
-    ):
-        keys = table.select(spec.key, *spec.natural_key)
-        rows = lookup_join(rows, keys, spec.natural_key, keys_from=silver, spread_by=["order_item_id"])
+    lookups = [
+        Lookup(table.select(spec.key, *spec.natural_key), spec.natural_key)
+        for table, spec in (
+            (profile, PROFILE), (destination, DESTINATION), (product, PRODUCT), (customer, CUSTOMER)
+        )
+    ]
+    rows = lookup_joins(rows, lookups, keys_from=silver, spread_by=["order_item_id"])
     return rows.select(
         *measures[:2],
         "customer_key", "product_key", "destination_key", "order_profile_key",
@@ -138,15 +140,15 @@ def star_view(star: Star, fact: DataFrame | None = None) -> DataFrame:
         "destination_key", "order_city", "order_country", "order_region", "market"
     )
     profile = star.profile.withColumnRenamed("type", "payment_type")
-    for table, key in (
-        (profile, "order_profile_key"),
-        (_role(star.date, "order"), "order_date_key"),
-        (_role(star.date, "shipping"), "shipping_date_key"),
-        (destination, "destination_key"),
-        (product, "product_key"),
-        (customer, "customer_key"),
-    ):
-        rows = lookup_join(rows, table, [key], keys_from=source, spread_by=["order_item_id"])
+    lookups = [
+        Lookup(profile, ["order_profile_key"]),
+        Lookup(_role(star.date, "order"), ["order_date_key"]),
+        Lookup(_role(star.date, "shipping"), ["shipping_date_key"]),
+        Lookup(destination, ["destination_key"]),
+        Lookup(product, ["product_key"]),
+        Lookup(customer, ["customer_key"]),
+    ]
+    rows = lookup_joins(rows, lookups, keys_from=source, spread_by=["order_item_id"])
     return rows.select(
         "order_id", "order_item_id",
         "customer_fname", "customer_lname", "customer_segment",

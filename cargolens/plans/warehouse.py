@@ -21,9 +21,9 @@ class Warehouse:
 
     def __init__(self, spark: SparkSession, root: str | None = None):
         self.workspace = Workspace(spark, root)
-        self.bronze_layer, self.silver_layer, self.gold_layer = (
-            Layer(spark, self.workspace.root, name) for name in ("bronze", "silver", "gold")
-        )
+        root = self.workspace.root
+        self.bronze_layer, self.silver_layer = Layer(spark, root, "bronze"), Layer(spark, root, "silver")
+        self.gold_layer = Layer(spark, root, "gold", measured=True)  # lookups go by these sizes
 
     @property
     def bronze(self) -> DataFrame:

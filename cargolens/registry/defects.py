@@ -28,6 +28,7 @@ ALTERED = {
 }
 REPEATED = 50  # item ids that occur twice (remainder 0)
 LOST_KEY, LOST_DAY = 3, 5  # last digit of dimension keys, day of the month
+NO_CUSTOMER, LONG_MARKET = 60, 70  # item ids without a customer key, with a long market (remainder 0)
 
 
 def defective(bronze: DataFrame) -> DataFrame:
@@ -54,6 +55,18 @@ def _incomplete(star: G.Star) -> G.Star:
     )
 
 
+def _broken_fact(fact: DataFrame) -> DataFrame:
+    """Some rows without a customer key, and some twice."""
+    item = F.col("order_item_id")
+    broken = fact.withColumn("customer_key", F.when(item % NO_CUSTOMER != 0, F.col("customer_key")))
+    return broken.unionByName(broken.where(item % REPEATED == 0))
+
+
+def _long_markets(silver: DataFrame) -> DataFrame:
+    long = F.col("order_item_id") % LONG_MARKET == 0
+    return silver.withColumn("market", F.when(long, F.repeat(F.lit("x"), 101)).otherwise(F.col("market")))
+
+
 _VERSIONS = {
     "b21_fd_customer_name": ("customer_id", ["customer_fname", "customer_lname"], "name_versions"),
     "b22_fd_customer_location": (
@@ -69,6 +82,7 @@ _KEYS = dict(zip(_MISSING, ["customer_key", "product_key", "destination_key", "o
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     raw = lambda build: Z._on(lambda spark, folder: defective(Z.bronze(spark, folder)), build)
     gold = lambda build: Z._with_silver_and_star(lambda d, s: build(d, _incomplete(s)))
+    broken = lambda s: replace(s, fact=_broken_fact(s.fact))
     found = {
         "b03_found_duplicate_keys": raw(lambda d: P.duplicate_keys(d, "order_item_id")),
         "b21_found_product_versions": raw(
@@ -86,6 +100,11 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "g_found_unloadable_customers": gold(
             lambda d, s: G.unloadable_keys(d, s.customer, G.CUSTOMER)
         ),
+        "c10_found_missing_references": gold(lambda d, s: Q.missing_references(s)),
+        "c17_found_violations": Z._with_silver_and_star(
+            lambda d, s: Q.all_violations(_long_markets(d), broken(s))
+        ),
+        "c18_found_release_checks": gold(lambda d, s: Q.release_checks(d, broken(s))),
         "c02_found_missing_order_dates": gold(
             lambda d, s: Q.missing_dates(d, s, "order_timestamp", "missing_order_date")
         ),
@@ -101,7 +120,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         )
     for number, name in enumerate(_MISSING, start=10):
         found[f"c{number}_found_missing_{name}"] = gold(
-            lambda d, s, name=name: Q.missing_references(s)[f"missing_{name}"]
+            lambda d, s, name=name: Q.missing_reference(s, f"missing_{name}")
         )
     return found
 
@@ -157,6 +176,45 @@ def oracle_sql() -> dict[str, str]:
         found[f"c{10 + _MISSING.index(name)}_found_missing_{name}"] = oracle._on_keyed(
             f"select count(*) filter (where {key} % 10 = {LOST_KEY}) as missing_{name} from keyed"
         )
+    broken = (
+        f"broken_once as (select * replace (case when order_item_id % {NO_CUSTOMER} <> 0 then customer_key end "
+        "as customer_key) from keyed), broken as (select * from broken_once union all "
+        f"select * from broken_once where order_item_id % {REPEATED} = 0)"
+    )
+    long = (
+        f"long_markets as (select * replace (case when order_item_id % {LONG_MARKET} = 0 then repeat('x', 101) "
+        "else market end as market) from typed)"
+    )
+    sources = {"fact_order_item": ("from keyed", "from broken"), "silver": ("from typed", "from long_markets")}
+    found["c17_found_violations"] = oracle._on_keyed(
+        " union all ".join(
+            f"select '{table}' as table_name, '{constraint}' as constraint_name, '{column}' as column_name, "
+            f"({sql.replace(*sources.get(table, ('', '')))}) as violations"
+            for table, constraint, column, sql in oracle._constraints()
+        ), broken, long, oracle._CALENDAR,
+    )
+    lost = {f"missing_{name}": f"{key} is null or {key} % 10 = {LOST_KEY}" for name, key in _KEYS.items()}
+    lost |= {f"missing_{role}_dates": f"day({role}_timestamp) = {LOST_DAY}" for role in ("order", "shipping")}
+    found["c10_found_missing_references"] = oracle._on_keyed(
+        "select " + ", ".join(f"count(*) filter (where {test}) as {name}" for name, test in lost.items()) + " from keyed"
+    )
+    tests = [
+        ("fact_rows", "(select count(*) from typed)", "(select count(*) from broken)"),
+        ("distinct_order_items", "(select count(*) from broken)", "(select count(distinct order_item_id) from broken)"),
+        *[(name, "0", f"(select count(*) from broken where {test})") for name, test in lost.items()],
+        *[
+            (f"uncovered_{role}_timestamp", "0",
+             f"(select count(distinct cast({role}_timestamp as date)) from typed where day({role}_timestamp) = {LOST_DAY})")
+            for role in ("order", "shipping")
+        ],
+    ]
+    found["c18_found_release_checks"] = oracle._on_keyed(
+        " union all ".join(
+            f"select '{name}' as check_name, cast({expected} as bigint) as expected, cast({actual} as bigint) as actual, "
+            f"{expected} = {actual} as passed"
+            for name, expected, actual in tests
+        ), broken,
+    )
     for number, role, suffix in ((14, "order", ""), (15, "shipping", "b")):
         lost = f"day({role}_timestamp) = {LOST_DAY}"
         found[f"c{number}_found_missing_{role}_dates"] = oracle._on_keyed(

@@ -11,7 +11,7 @@ from __future__ import annotations
 from cargolens import schemas as S
 from cargolens.plans import silver as C
 from cargolens.plans.order_items import ITEM_COLUMNS, LINE_COLUMNS, RAW_TEXT
-from cargolens.registry.queries import CLEANING_SUBSETS, COUNTED, RANGE_COLUMNS, RANGES
+from cargolens.registry.queries import CLEANING_SUBSETS, COUNTED, RANGE_COLUMNS, RANGES, SKETCHED_COLUMNS
 
 
 def _list(columns: dict[str, str]) -> str:
@@ -239,6 +239,21 @@ def _range(column: str, label: str, mean: bool = True) -> str:
     )
 
 
+def _shortest(value: str) -> str:
+    """A decimal as text without zeros at its end."""
+    return f"regexp_replace(cast({value} as varchar), '\\.?0+$', '')"
+
+
+def _exact_range(column: str) -> str:
+    value = f"cast({column} as decimal(18,6))"
+    micros = _half_up(f"sum(cast({value} * 1000000 as hugeint))", f"count({column})", 0, "decimal(30,0)")
+    mean = f"({micros.replace(' / 1 end', ' end')}) * cast(0.000001 as decimal(7,6))"
+    return (
+        f"select '{column}' as column_name, {_shortest(f'min({value})')} as lowest, "
+        f"{_shortest(f'max({value})')} as highest, cast({mean} as varchar) as mean from raw"
+    )
+
+
 def _null_profile(column: str) -> str:
     missing = f"(count(*) - count({column}))"
     return (
@@ -333,6 +348,13 @@ def _profiles() -> dict[str, str]:
                 for c in RANGE_COLUMNS
             )
         ),
+        "b28_exact_ranges": _on_raw(" union all ".join(map(_exact_range, RANGE_COLUMNS))),
+        "b02_sketched_counts": _on_raw(
+            " union all ".join(
+                f"select '{c}' as column_name, count(distinct {c}) as exact_values, true as is_close from raw"
+                for c in SKETCHED_COLUMNS
+            )
+        ),
         "b21_attribute_versions": _on_raw(
             " union all ".join(
                 f"select '{c}' as column_name, count(*) filter (where v > 1) as varying_keys from "
@@ -514,6 +536,12 @@ def _model() -> dict[str, str]:
             f"select count(*) as missing_{role}_dates from keyed f left join calendar d "
             f"on f.{role}_date_key = d.date_key where d.date_key is null", _CALENDAR,
         )
+    missing = [f"count(*) filter (where {key} is null) as missing_{name}" for name, key in zip(COUNTED, keys)]
+    missing += [
+        f"count(*) filter (where {role}_date_key not in (select date_key from calendar)) as missing_{role}_dates"
+        for role in ("order", "shipping")
+    ]
+    found["c10_missing_references"] = _on_keyed(f"select {', '.join(missing)} from keyed", _CALENDAR)
     view = _columns(
         ["order_id", "order_item_id", "customer_fname", "customer_lname", "customer_segment",
          "product_name", "category_name", "department_name", "order_city", "order_country",
@@ -706,6 +734,12 @@ group by fifth"""
     }
 
 
+def _exact(sql: str) -> str:
+    """The same result with decimals in place of doubles, as text."""
+    decimals = sql.replace("as double) / 100 end", "as decimal(36,0)) * cast(0.01 as decimal(3,2)) end")
+    return f"select columns(*)::varchar from ({decimals.replace('as double)', 'as decimal(38,2))')})"
+
+
 def _primitives() -> dict[str, str]:
     rank = "(order by order_profit_per_order, order_item_id"
     per_profile = (
@@ -769,4 +803,6 @@ def _primitives() -> dict[str, str]:
 def oracle_sql() -> dict[str, str]:
     from cargolens.registry import defects
 
-    return {**defects.oracle_sql(), **_profiles(), **_cleaning(), **_model(), **_analyses(), **_primitives()}
+    analyses = _analyses()
+    analyses |= {f"{name}_exact": _exact(sql) for name, sql in analyses.items()}
+    return {**defects.oracle_sql(), **_profiles(), **_cleaning(), **_model(), **analyses, **_primitives()}

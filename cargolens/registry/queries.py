@@ -14,6 +14,7 @@ from cargolens import schemas as S
 from cargolens.functions.numbers import discount_band, mean, money, ratio_pct
 from cargolens.functions.dates import date_key
 from cargolens.operators import profiling as P
+from cargolens.operators.joins import lookup_join
 from cargolens.operators.ranking import global_cumulative, global_ntile, top_k_share
 from cargolens.operators.rollups import (
     loss_split,
@@ -108,6 +109,16 @@ def _on_exact(source, build) -> Query:
     return lambda spark, folder: build(source(spark, folder))
 
 
+def as_text(df: DataFrame) -> DataFrame:
+    """Every value as text, so that each digit is compared."""
+    return df.select(*[F.col(c).cast("string").alias(c) for c in df.columns])
+
+
+def as_doubles(df: DataFrame) -> DataFrame:
+    """Exact numbers written as text as doubles."""
+    return df.select(*[c if c == "column_name" else F.col(c).cast("double").alias(c) for c in df.columns])
+
+
 def _item_id() -> list:
     return [F.expr("try_cast(trim(order_item_id) as bigint)").asc_nulls_last()]
 
@@ -119,6 +130,20 @@ def _profiles() -> dict[str, Query]:
     def rounded(name: str):
         return F.round(number(name), 2)
 
+    def sketched(d: DataFrame) -> DataFrame:
+        """Whether sketches of parts, merged, come within three standard errors of the counts."""
+        estimates = P.sketched_counts(P.distinct_sketches(d, SKETCHED_COLUMNS, "type"), SKETCHED_COLUMNS)
+        exact = d.agg(*[F.count_distinct(c).alias(c) for c in SKETCHED_COLUMNS]).select(
+            F.inline(F.array(*[
+                F.struct(F.lit(c).alias("column_name"), F.col(c).alias("exact_values")) for c in SKETCHED_COLUMNS
+            ]))
+        )
+        off = F.abs(F.col("distinct_values") - F.col("exact_values"))
+        return estimates.join(exact, "column_name").select(
+            "column_name", "exact_values",
+            (off <= F.ceil(3 * F.col("standard_error") * F.col("exact_values"))).alias("is_close"),
+        )
+
     builds = {
         "b01_row_count": lambda d: P.row_count(d),
         "b02_grain": lambda d: P.key_grain(d, "order_item_id", "distinct_order_items", "total_rows"),
@@ -166,12 +191,12 @@ def _profiles() -> dict[str, Query]:
         "b27_fd_department_name": lambda d: P.functional_dependency(
             d, "department_id", ["department_name"], "department_name_versions"
         ),
-        "b35_range_discount_rate": lambda d: P.numeric_range(
+        "b35_range_discount_rate": lambda d: as_doubles(P.numeric_range(
             d, "order_item_discount_rate", "min_discount_rate", "max_discount_rate"
-        ),
-        "b36_range_profit_ratio": lambda d: P.numeric_range(
+        )),
+        "b36_range_profit_ratio": lambda d: as_doubles(P.numeric_range(
             d, "order_item_profit_ratio", "min_profit_ratio", "max_profit_ratio"
-        ),
+        )),
         "b37_negative_profit": lambda d: P.predicate_counts(
             d, negative_profit_rows=number("order_profit_per_order") < 0
         ),
@@ -206,15 +231,17 @@ def _profiles() -> dict[str, Query]:
         "b50_ws_order_status": lambda d: P.whitespace(d, order_status_with_spaces="order_status"),
         # Several profiles fused into one pass over the table.
         "b07_null_profile_all": lambda d: P.null_profile(d, S.BRONZE_COLUMNS),
-        "b28_numeric_profile_all": lambda d: P.numeric_profile(d, RANGE_COLUMNS),
+        "b28_numeric_profile_all": lambda d: as_doubles(P.numeric_profile(d, RANGE_COLUMNS)),
+        "b28_exact_ranges": lambda d: P.numeric_profile(d, RANGE_COLUMNS),
+        "b02_sketched_counts": sketched,
         "b21_attribute_versions": lambda d: P.inconsistent_keys(
             d, "order_customer_id", S.CUSTOMER_ATTRIBUTES[1:]
         ),
     }
     for name, (column, label) in RANGES.items():
-        builds[name] = lambda d, column=column, label=label: P.numeric_range(
+        builds[name] = lambda d, column=column, label=label: as_doubles(P.numeric_range(
             d, column, f"min_{label}", f"max_{label}", f"avg_{label}"
-        )
+        ))
     return {name: _on(bronze, build) for name, build in builds.items()}
 
 
@@ -232,6 +259,8 @@ RANGE_COLUMNS = [column for column, _ in RANGES.values()] + [
     "order_item_discount_rate", "order_item_profit_ratio",
 ]
 
+SKETCHED_COLUMNS = ["order_item_id", "order_id", "customer_id", "product_card_id"]
+
 # Cleaning rules shown one by one: query name -> rules.
 CLEANING_SUBSETS = {
     "s01_title_case": C.rules_of(C.TITLE),
@@ -315,7 +344,7 @@ def _lookup(spec: G.Dimension) -> Query:
     def build(gold: G.Star) -> DataFrame:
         table = gold.dimension(spec).select(spec.key, *spec.natural_key)
         rows = gold.fact.select("order_item_id", spec.key)
-        return G.lookup_join(rows, table, [spec.key])
+        return lookup_join(rows, table, [spec.key])
 
     return _on(star, build)
 
@@ -381,7 +410,8 @@ def _model() -> dict[str, Query]:
     for number, name in enumerate(COUNTED, start=5):
         found[f"c{number:02d}_{name}"] = _on(star, lambda s, name=name: Q.dimension_counts(s)[name])
     for number, name in enumerate(REFERENCES, start=10):
-        found[f"c{number:02d}_{name}"] = _on(star, lambda s, name=name: Q.missing_references(s)[name])
+        found[f"c{number:02d}_{name}"] = _on(star, lambda s, name=name: Q.missing_reference(s, name))
+    found["c10_missing_references"] = _on(star, Q.missing_references)
     return found
 
 
@@ -393,21 +423,23 @@ REFERENCES = [
 
 
 def _analyses() -> dict[str, Query]:
-    return {
-        "a01_executive_kpis": _on(star, A.executive_kpis),
-        "a02_monthly_coverage": _on(star, lambda s: A.monthly_coverage(s, *COVERAGE_PERIOD)),
-        "a03_loss_summary": _on(star, A.loss_summary),
-        "a04_category_loss": _on(star, A.category_losses),
-        "a05_product_loss": _on(star, A.worst_products),
-        "a06_loss_pareto": _on(star, A.loss_concentration),
-        "a07_discount_margin": _on(star, A.discount_margin),
-        "a08_discount_loss_rate": _on(star, A.discount_loss_rate),
-        "a09_delivery_outcomes": _on(star, A.delivery_outcomes),
-        "a10_shipping_mode": _on(star, A.shipping_mode_performance),
-        "a11_delay_severity": _on(star, A.delay_severity),
-        "a12_customer_pareto": _on(star, A.customer_concentration),
-        "a13_value_vs_delivery": _on(star, A.service_by_customer_value),
+    builds = {
+        "a01_executive_kpis": A.executive_kpis,
+        "a02_monthly_coverage": lambda s: A.monthly_coverage(s, *COVERAGE_PERIOD),
+        "a03_loss_summary": A.loss_summary,
+        "a04_category_loss": A.category_losses,
+        "a05_product_loss": A.worst_products,
+        "a06_loss_pareto": A.loss_concentration,
+        "a07_discount_margin": A.discount_margin,
+        "a08_discount_loss_rate": A.discount_loss_rate,
+        "a09_delivery_outcomes": A.delivery_outcomes,
+        "a10_shipping_mode": A.shipping_mode_performance,
+        "a11_delay_severity": A.delay_severity,
+        "a12_customer_pareto": A.customer_concentration,
+        "a13_value_vs_delivery": A.service_by_customer_value,
     }
+    exact = {f"{name}_exact": _on_exact(star, lambda s, build=build: as_text(build(s))) for name, build in builds.items()}
+    return {name: _on(star, build) for name, build in builds.items()} | exact
 
 
 def _primitives() -> dict[str, Query]:
@@ -451,7 +483,7 @@ def _primitives() -> dict[str, Query]:
 
     def with_variance(s: G.Star) -> DataFrame:
         orders = order_rollup(s.fact, "order_profile_key")
-        orders = G.lookup_join(orders, s.profile, ["order_profile_key"])
+        orders = lookup_join(orders, s.profile, ["order_profile_key"])
         return orders.withColumn("variance", schedule_variance())
 
     def variance_by_status(s: G.Star) -> DataFrame:

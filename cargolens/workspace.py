@@ -10,7 +10,7 @@ from __future__ import annotations
 import tempfile
 import uuid
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, types as T
 
 _local_roots: dict[str, str] = {}
 
@@ -35,6 +35,14 @@ def delete_folder(spark: SparkSession, folder: str) -> None:
     path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
 
 
+def reads_a_table(df: DataFrame) -> bool:
+    """Whether ``df`` is a table, at most filtered or projected, and so cheap to read again."""
+    node = df._jdf.queryExecution().optimizedPlan()
+    while node.nodeName() in ("Project", "Filter"):
+        node = node.children().head()
+    return node.children().isEmpty()
+
+
 class Workspace:
     """A folder below the shared root that belongs to one application."""
 
@@ -50,7 +58,9 @@ class Workspace:
         """Write ``df`` once and return the written table."""
         path = self.fresh_path(name)
         df.write.parquet(path)
-        return self.spark.read.schema(df.schema).parquet(path)
+        # What columns say of the table they come from doesn't hold for this one.
+        plain = T.StructType([T.StructField(f.name, f.dataType, f.nullable) for f in df.schema.fields])
+        return self.spark.read.schema(plain).parquet(path)
 
     def discard(self) -> None:
         """Delete this workspace's staged tables once nothing refers to them."""

@@ -82,15 +82,15 @@ def test_hot_keys_are_not_looked_for_in_computed_rows(spark, tmp_path, monkeypat
     from cargolens.registry import queries as registry
 
     seen = []
-    real = joins.hot_keys
+    real = joins.hot_keys_together
 
-    def spied(rows, key_hash):
+    def spied(rows, key_hashes):
         seen.append(rows._jdf.queryExecution().optimizedPlan().toString())
-        return real(rows, key_hash)
+        return real(rows, key_hashes)
 
     folder = "/root/testdata/sf0.001"
     star = registry.star(spark, folder)
-    monkeypatch.setattr(joins, "hot_keys", spied)
+    monkeypatch.setattr(joins, "hot_keys_together", spied)
     spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
     try:
         for report in (
@@ -105,3 +105,77 @@ def test_hot_keys_are_not_looked_for_in_computed_rows(spark, tmp_path, monkeypat
     finally:
         spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
     assert seen and not [plan for plan in seen if "Aggregate" in plan or "Join" in plan]
+
+
+def test_hot_keys_of_several_lookups_take_one_scan(spark, monkeypatch):
+    """The fact load and the star view look for the hot keys of all their lookups at once."""
+    from cargolens.plans import star as model
+    from cargolens.registry import queries as registry
+
+    folder = "/root/testdata/sf0.001"
+    star, silver = registry.star(spark, folder), registry.silver(spark, folder)
+    want = sorted(map(repr, model.star_view(star).collect()))
+    calls = []
+    real = joins.hot_keys_together
+
+    def spied(rows, key_hashes):
+        calls.append(len(key_hashes))
+        return real(rows, key_hashes)
+
+    monkeypatch.setattr(joins, "hot_keys_together", spied)
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        fact = model.build_fact(silver, star.customer, star.product, star.destination, star.profile)
+        assert calls == [4]
+        assert sorted(map(repr, fact.collect())) == sorted(map(repr, star.fact.collect()))
+        view = model.star_view(star)
+        assert calls == [4, 6]
+        assert sorted(map(repr, view.collect())) == want
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+
+
+def test_sketches_of_several_keys_are_one_aggregate(spark):
+    rows = spark.range(9000).select(
+        F.when(F.col("id") % 2 == 0, 1).otherwise(F.col("id")).alias("a"), (F.col("id") % 3000).alias("b")
+    )
+    a, b = joins.hot_keys_together(rows, [F.xxhash64("a"), F.xxhash64("b")])
+    (hot,) = rows.where("a = 1").select(F.xxhash64("a")).first()
+    assert [h for h, _ in a] == [hot] and b == []
+
+
+def test_a_table_of_repeated_text_is_not_broadcast_by_its_file_size(spark, tmp_path):
+    """Its files are a hundredth of what it takes in memory."""
+    from cargolens.sources.layers import Layer
+
+    layer = Layer(spark, str(tmp_path), "gold", measured=True)
+    rows = spark.range(20_000).select(F.col("id").alias("k"), F.repeat(F.lit("Long name "), 30).alias("name"))
+    with layer.replaced():
+        layer.refresh(rows, "dim", rows.schema)
+    dimension = layer.read("dim", rows.schema)
+    assert joins.plan_bytes(dimension) < 1 << 20
+    assert 20_000 * 300 < joins.memory_bytes(dimension) < 20_000 * 400
+    assert joins.memory_bytes(dimension.select("k")) < 20_000 * 60
+    facts = spark.range(50_000).select((F.col("id") % 20_000).alias("k"))
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", str(2 << 20))
+    try:
+        plan = joins.lookup_join(facts, dimension, ["k"])._jdf.queryExecution().executedPlan().toString()
+        assert "SortMergeJoin" in plan and "BroadcastHashJoin" not in plan
+        narrow = joins.lookup_join(facts, dimension.select("k"), ["k"])
+        assert "BroadcastHashJoin" in narrow._jdf.queryExecution().executedPlan().toString()
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+
+
+def test_what_is_derived_from_a_table_does_not_have_its_size(spark, tmp_path):
+    from cargolens.sources.layers import Layer
+    from cargolens.workspace import Workspace
+
+    layer = Layer(spark, str(tmp_path), "gold", measured=True)
+    rows = spark.range(10).select(F.col("id").alias("k"))
+    with layer.replaced():
+        layer.refresh(rows, "dim", rows.schema)
+    dimension = layer.read("dim", rows.schema)
+    many = dimension.join(spark.range(1000).select((F.col("id") % 10).alias("k")), "k").select("k")
+    assert joins.memory_bytes(dimension) is not None and joins.memory_bytes(many) is None
+    assert joins.memory_bytes(Workspace(spark, str(tmp_path / "w")).materialize(many, "many")) is None

@@ -107,3 +107,13 @@ def test_samples_and_top_lists_are_not_full_sorts(star):
 
     assert "TakeOrderedAndProject" in physical(star_sample(star))
     assert "TakeOrderedAndProject" in physical(analyses.worst_products(star))
+
+
+def test_rankings_exchange_rows_once(spark, star, plans):
+    """Of a table, and of the summaries that reports rank once these are written."""
+    folder = FOLDER
+    for name in ("p06_global_cumulative", "p07_global_ntile"):
+        assert physical(registry.queries()[name](spark, folder)).count("Exchange") == 1
+    for report in (analyses.loss_concentration, analyses.customer_concentration):
+        *_, result = plans(report)
+        assert result.count("Exchange") == 1 and "rangepartitioning" not in result

@@ -243,3 +243,29 @@ def test_profilers_on_few_rows(spark):
     with pytest.raises(Exception, match="column sales"):
         profiling.numeric_range(raw_frame(spark, raw(sales="")), "sales", "a", "b").collect()
     assert profiling.distinct_sample(rows, "order_item_id", 1).first()[0] == "1"
+
+
+def test_of_two_refreshes_the_later_to_finish_fails(spark, tmp_path):
+    """It began before the other one was published, so it would take back what that one released."""
+    from cargolens.sources.layers import Layer, RefreshConflict
+
+    rows = spark.range(3).select(F.col("id").alias("k"))
+    first, second = (Layer(spark, str(tmp_path), "gold") for _ in range(2))
+    with pytest.raises(RefreshConflict):
+        with first.replaced():
+            first.refresh(rows, "t", rows.schema)
+            with second.replaced():
+                second.refresh(rows.limit(1), "t", rows.schema)
+    assert first.read("t", rows.schema).count() == 1 and len(first.versions()) == 1
+    assert len([p for p in (tmp_path / "gold").iterdir() if p.name.startswith("v")]) == 1
+    # The next refresh starts from what was published.
+    with first.replaced():
+        first.refresh(rows, "t", rows.schema)
+    assert second.read("t", rows.schema).count() == 3 and len(second.versions()) == 2
+
+
+def test_the_release_reads_the_fact_twice(small):
+    plan = quality.release_checks(small.silver, small.star)._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("fact_order_item") == 2
+    references = quality.missing_references(small.star)._jdf.queryExecution().executedPlan().toString()
+    assert references.count("fact_order_item") == 1 and "Join" not in references
