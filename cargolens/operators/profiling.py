@@ -7,7 +7,7 @@ from functools import reduce
 
 import pyarrow as pa
 import pyarrow.compute as pc
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, Row, functions as F
 
 from cargolens.functions import exact
 from cargolens.functions.numbers import ratio_pct
@@ -204,21 +204,27 @@ def inconsistent_keys(df: DataFrame, key: str, attributes: Sequence[str]) -> Dat
 def numeric_range(
     df: DataFrame, column: str, lowest: str, highest: str, mean: str | None = None, places: int = MEAN_PLACES
 ) -> DataFrame:
-    """Minimum, maximum and mean of a text column of numbers, as exact text.
-
-    Minimum and maximum keep every digit; the mean is rounded to ``places`` once.
-    """
-    totals = df.agg(*[part.alias(name) for name, part in exact.limbs(column).items()])
-    found = totals.select(exact.summary({name: F.col(name) for name in totals.columns}, places).alias("found"))
+    """Minimum, maximum and mean of a text column of numbers, as exact text."""
     names = {"lowest": lowest, "highest": highest} | ({"mean": mean} if mean else {})
-    return found.select(*[F.col(f"found.{part}").alias(name) for part, name in names.items()])
+    found = numeric_profile(df, [column], places)
+    return found.select(*[F.col(part).alias(name) for part, name in names.items()])
 
 
 def numeric_profile(df: DataFrame, columns: Sequence[str], places: int = MEAN_PLACES) -> DataFrame:
-    """Ranges of many columns, each read once, one output row per column."""
-    totals = _in_groups(columns, lambda group: _by_column(df, group, exact.limbs))
-    parts = {name: F.col(name) for name in totals.columns if name != "column_name"}
-    return totals.select("column_name", exact.summary(parts, places).alias("found")).select("column_name", "found.*")
+    """Ranges of many columns, each read once, one output row per column.
+
+    Minimum and maximum keep every digit; the mean is rounded to ``places`` once.  Columns
+    with numbers too long for a decimal are read once more.
+    """
+
+    def totals(names: Sequence[str], measures) -> dict[str, Row]:
+        found = _in_groups(names, lambda group: _by_column(df, group, measures)) if names else None
+        return {row["column_name"]: row for row in found.collect()} if found is not None else {}
+
+    ordinary = totals(columns, exact.ordinary_totals)
+    long = totals([name for name in columns if ordinary[name]["others"]], exact.long_totals)
+    rows = [(name, *exact.summary(ordinary[name], long.get(name), places)) for name in columns]
+    return df.sparkSession.createDataFrame(rows, "column_name string, lowest string, highest string, mean string")
 
 
 def predicate_counts(df: DataFrame, **predicates: Column) -> DataFrame:

@@ -47,12 +47,25 @@ def test_thirty_digits_and_twenty_five_places_survive(spark):
     assert ranged(spark, ["0." + "0" * 24 + "1", "0"], 25)[1:] == ("0." + "0" * 24 + "1", "0." + "0" * 24 + "1")
 
 
-@pytest.mark.parametrize("value", ["", " ", "x", "1,5", "1.2.3", "9" * 37, "0." + "1" * 26, "1e5x"])
+@pytest.mark.parametrize("value", ["", " ", "x", "1,5", "1.2.3", "9" * 37, "0." + "1" * 26, "1e5x", "9" * 20 + "x"])
 def test_what_is_no_number_or_too_long_fails(spark, value):
     with pytest.raises(Exception, match="column v"):
         ranged(spark, ["1", value])
 
 
+def test_exponents_are_read_as_decimals(spark):
+    assert ranged(spark, ["1e3", "2E-2", "0e0"], 2) == ("0", "1000", "333.34")
+
+
+def test_only_columns_with_long_numbers_are_read_again(spark, monkeypatch):
+    rows = spark.createDataFrame([("1", "2" * 30), ("3", "4")], "a string, b string")
+    calls = []
+    real = P._by_column
+    monkeypatch.setattr(P, "_by_column", lambda df, names, measures: (calls.append(list(names)), real(df, names, measures))[1])
+    found = {r["column_name"]: r["highest"] for r in P.numeric_profile(rows, ["a", "b"]).collect()}
+    assert calls == [["a", "b"], ["b"]] and found == {"a": "3", "b": "2" * 30}
+
+
 def test_halves_are_rounded_away_from_zero(spark):
     assert ranged(spark, ["1", "2"], 0)[2] == "2" and ranged(spark, ["-1", "-2"], 0)[2] == "-2"
     assert ranged(spark, [None, None]) == (None, None, None) and ranged(spark, []) == (None, None, None)
