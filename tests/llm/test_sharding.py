@@ -54,7 +54,13 @@ def test_movement_is_confined_to_the_subtree_that_grew(spark):
     place = lambda s: (s // 4, s // 2)  # noqa: E731  region, rack
     for k in before:
         if before[k] != after[k]:
-            assert place(after[k]) == (0, 0)  # only into the rack whose weight changed
+            # Only into the region whose weight grew; within it only into the rack that grew,
+            # and within that only into the shard.
+            assert place(after[k])[0] == 0
+            if place(before[k])[0] == 0:
+                assert place(after[k]) == (0, 0)
+            if place(before[k]) == (0, 0):
+                assert after[k] == 1
     emptied = _shards(spark, tree.with_weight(1, 0.0))
     assert 1 not in emptied.values()
     assert all(emptied[k] == before[k] for k in before if before[k] // 4 == 1)
