@@ -106,7 +106,7 @@ def _tokenizer(tokenizer_file: str):
     return Tokenizer.from_file(tokenizer_file)
 
 
-def _byte_letters() -> dict[str, int]:
+def byte_letters() -> dict[str, int]:
     """The letters that stand for bytes in a byte-level vocabulary.
 
     Printable characters of Latin-1 stand for themselves, the other bytes in their
@@ -120,7 +120,7 @@ def _byte_letters() -> dict[str, int]:
 @cache
 def _spelling(tokenizer_file: str) -> pa.Array:
     """The bytes that each id stands for; those of an id without a piece are empty."""
-    letters = _byte_letters()
+    letters = byte_letters()
     vocabulary = _tokenizer(tokenizer_file).get_vocab(with_added_tokens=True)
     found = [b""] * (max(vocabulary.values()) + 1)
     for piece, i in vocabulary.items():

@@ -22,6 +22,7 @@ not read; a null doc_id stays null.
 from __future__ import annotations
 
 import zlib
+from array import array
 from collections import defaultdict
 from collections.abc import Iterator, Mapping
 
@@ -30,11 +31,13 @@ import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
+from cargolens.llm.byte_pairs import byte_letters
 from cargolens.llm.common import Scratch, dense_slots, read
 
 CAPACITY = 4096
 END_ID = 1
-MOST_WORDS = 300_000  # entries of one generation of a worker's table of words
+MOST_BYTES = 120 << 20  # of one generation of a worker's table of words
+ENTRY = 200  # bytes of an entry beside its characters and ids
 LONGEST_KEPT = 64  # characters
 MARKS = ".,;:!?"
 
@@ -42,74 +45,72 @@ MARKS = ".,;:!?"
 Pattern = tuple[tuple[int, int], ...]
 
 
-class _Words:
-    """Ids of whole texts, each distinct word of a worker tokenized once.
+class _Words(dict):
+    """Ids of words, each distinct word of a task tokenized once; of whole texts by ``ids``.
 
     The vocabulary's normalizer and splitter treat white space as a border, so the
     ids of a text are those of its words.  Only the plain space and the line feed
     are used to cut; any other space inside a word is left to the tokenizer.
 
-    The table has two generations: a word of the older one moves to the newer when it
-    is met again, and when the newer is full the older is forgotten.  So frequent
-    words stay and memory is bounded.
+    A word that is not in the table is tokenized when it is looked up, so what a text costs
+    does not depend on the size of the table.  There are two generations of at most
+    ``MOST_BYTES`` each (and one text): a word of the older one moves to the newer when it
+    is met again, and when the newer is full the older is forgotten.  So frequent words stay
+    and memory is bounded.  A task starts with an empty table, so idle workers hold none.
     """
 
     def __init__(self, file: str):
-        from tokenizers import Tokenizer, normalizers, pre_tokenizers
+        from tokenizers import Tokenizer
 
+        super().__init__()
         self.tokenizer = Tokenizer.from_file(file)
-        # For words of Latin-1 letters alone, which normalize to their lower case and are
-        # never split: the same merges without the dear steps before them.
-        self.letters = Tokenizer.from_file(file)
-        self.letters.normalizer = normalizers.Sequence([])
-        self.letters.pre_tokenizer = pre_tokenizers.ByteLevel(add_prefix_space=False, use_regex=False)
-        self.marks = dict(zip(MARKS, self._encode(self.tokenizer, list(MARKS)))) | {"": b""}
-        self.table: dict[str, bytes] = {}
+        # Words of Latin-1 letters alone normalize to their lower case and are never split:
+        # they go to the merges directly, as the letters that stand for their bytes.
+        self.merges = self.tokenizer.model.tokenize
+        self.byte_letters = {b: letter for letter, b in byte_letters().items() if ord(letter) != b}
+        self.marks = {mark: self._whole(mark) for mark in MARKS}
+        self.forget()
+
+    def forget(self) -> None:
+        self.clear()
         self.older: dict[str, bytes] = {}
-
-    @staticmethod
-    def _encode(tokenizer, words: list[str]) -> list[bytes]:
-        found = tokenizer.encode_batch_fast(words, add_special_tokens=False)
-        return [np.array(x.ids, "<u4").tobytes() for x in found]
-
-    def _new(self, words: list[str]) -> dict[str, bytes]:
-        """Ids of words that no table has; a mark behind letters is a token of its own."""
-        plain, marks, other = [], [], []
-        for word in words:
-            mark = word[-1:] if word[-1:] in self.marks else ""
-            letters = word[: len(word) - len(mark)]
-            if letters.isalpha() and max(letters) < "\u0100":
-                plain.append(letters.lower())
-                marks.append((word, self.marks[mark]))
-            else:
-                other.append(word)
-        out = dict(zip(other, self._encode(self.tokenizer, other)))
-        found = self._encode(self.letters, plain)
-        out.update((word, ids + mark) for (word, mark), ids in zip(marks, found))
-        return out
+        self.size = 0
+
+    def _whole(self, word: str) -> bytes:
+        return array("I", self.tokenizer.encode(word, add_special_tokens=False).ids).tobytes()
+
+    def _new(self, word: str) -> bytes:
+        if word.isalpha() and max(word) < "\u0100":
+            lower = word.lower()
+            if lower != word:
+                return self[lower]
+            if not word.isascii():
+                lower = word.encode().decode("latin-1").translate(self.byte_letters)
+            return array("I", [token.id for token in self.merges(lower)]).tobytes()
+        if (mark := self.marks.get(word[-1:])) and word[:-1].isalpha() and max(word) < "\u0100":
+            return self[word[:-1]] + mark  # a mark behind letters is a token of its own
+        return self._whole(word) if word else b""
+
+    def __missing__(self, word: str) -> bytes:
+        found = self.older.get(word)
+        if found is None:
+            found = self._new(word)
+        if len(word) <= LONGEST_KEPT:
+            self[word] = found
+            self.size += len(word) + len(found) + ENTRY
+        return found
 
     def ids(self, texts: list[str | None]) -> Iterator[bytes]:
         """Little-endian 32-bit ids of each text."""
         for text in texts:
-            if len(self.table) > MOST_WORDS:
-                self.table, self.older = {}, self.table
-            table, older = self.table, self.older
-            words = (text or "").replace("\n", " ").split(" ")
-            new = set(words).difference(table)
-            if new:
-                known = new.intersection(older)
-                table.update((w, older[w]) for w in known)
-                new -= known
-                long = {w for w in new if len(w) > LONGEST_KEPT}
-                table.update(self._new(list(new - long)))
-                if long:
-                    own = self._new(list(long))
-                    yield b"".join([own[w] if w in own else table[w] for w in words])
-                    continue
-            yield b"".join(map(table.__getitem__, words))
-
-
-_tokenizers: dict[str, _Words] = {}
+            if self.size > MOST_BYTES:
+                older = dict(self)
+                self.forget()
+                self.older = older
+            yield b"".join(map(self.__getitem__, (text or "").replace("\n", " ").split(" ")))
+
+
+_words: dict[str, _Words] = {}
 
 
 def pieces(docs: DataFrame, tokenizer_file: str, capacity: int = CAPACITY) -> DataFrame:
@@ -117,11 +118,12 @@ def pieces(docs: DataFrame, tokenizer_file: str, capacity: int = CAPACITY) -> Da
     step, end = 4 * capacity, np.array([END_ID], "<u4").tobytes()
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        if tokenizer_file not in _tokenizers:
-            _tokenizers[tokenizer_file] = _Words(tokenizer_file)
+        if tokenizer_file not in _words:
+            _words[tokenizer_file] = _Words(tokenizer_file)
+        own = _words[tokenizer_file]
         for batch in batches:
             rows = []
-            for i, ids in enumerate(_tokenizers[tokenizer_file].ids(batch["text"].to_pylist())):
+            for i, ids in enumerate(own.ids(batch["text"].to_pylist())):
                 ids += end
                 for k, at in enumerate(range(0, len(ids), step)):
                     part = ids[at : at + step]
@@ -136,6 +138,7 @@ def pieces(docs: DataFrame, tokenizer_file: str, capacity: int = CAPACITY) -> Da
                     "ids_crc32": pa.array(crc, pa.int64()),
                 }
             )
+        own.forget()  # an idle worker keeps no words
 
     kind = docs.schema["doc_id"].dataType.simpleString()
     schema = f"doc_id {kind}, piece int, start long, length long, ids_crc32 long"

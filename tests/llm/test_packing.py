@@ -8,6 +8,7 @@ import pytest
 from hypothesis import given, settings, strategies as st
 from tokenizers import Tokenizer
 
+from cargolens.llm import packing
 from cargolens.llm.packing import op1_best_fit_packing, pack, plan
 from tests.llm.frames import clashing, corpus, documents, edges, folder
 
@@ -74,6 +75,43 @@ def test_pieces_and_places(spark, tmp_path, rows):
         assert at <= 4096
 
 
+def test_a_text_does_not_walk_the_table_of_words():
+    class Older(dict):
+        def __iter__(self):
+            raise AssertionError("all words of the table were walked for some texts")
+
+        keys = items = values = __iter__
+
+    words = packing._Words(public_tokenizers.path("word_bpe_49k.json"))
+    texts = ["one two three", "two four", None, "one\nfive six", "x" * 100 + " one"]
+    want = list(words.ids(texts))
+    kept = Older(words)
+    words.forget()
+    words.older = kept
+    assert list(words.ids(texts)) == want
+    assert {"one", "two", "five"} <= set(words) and "x" * 100 not in words
+
+
+def test_the_table_of_words_is_bounded_in_bytes(monkeypatch):
+    monkeypatch.setattr(packing, "MOST_BYTES", 20_000)
+    file = public_tokenizers.path("word_bpe_49k.json")
+    words, tokenizer = packing._Words(file), Tokenizer.from_file(file)
+    texts = [f"word{k} and word{k % 7} of some length {'y' * (k % 90)}" for k in range(600)]
+    for text, ids in zip(texts, words.ids(texts)):
+        assert list(np.frombuffer(ids, "<u4")) == tokenizer.encode(text, add_special_tokens=False).ids
+    assert words.older and len(words) < 120 and len(words.older) < 120
+
+
+def test_words_of_all_letters_as_the_library():
+    file = public_tokenizers.path("word_bpe_49k.json")
+    rng, words, tokenizer = random.Random(5), packing._Words(file), Tokenizer.from_file(file)
+    letters = [*map(chr, range(0x20, 0x180)), *"abcdeABCDE.,;:!?'", "\n", "\t", chr(0x301), chr(0xFB01), chr(0x6587), "<|endoftext|>"]
+    texts = ["".join(rng.choices(letters, k=rng.randint(0, 9))) for _ in range(30_000)]
+    texts += ["".join(rng.choices([chr(c) for c in range(0xAA, 0x100)], k=4)) for _ in range(5000)]
+    for text, ids in zip(texts, words.ids(texts)):
+        assert list(np.frombuffer(ids, "<u4")) == tokenizer.encode(text, add_special_tokens=False).ids, text
+
+
 def test_any_table_with_lengths_can_be_packed(spark):
     parts = spark.createDataFrame([(i, i % 5 + 1) for i in range(50)], "name long, length long")
     found = pack(parts, ["name"], 6).collect()
