@@ -70,37 +70,80 @@ def _loss_order() -> list[Column]:
     return [F.col("negative_profit").asc_nulls_last(), F.col("product_name").asc_nulls_last()]
 
 
+# Which of two grains a row of grouping sets belongs to: the first key is grouped away in
+# the second set, and the other way round.
+_BY_ORDER, _BY_PRODUCT = 1, 2
+
+
+def _two_grains(rows: DataFrame, *keys: str) -> DataFrame:
+    """Totals per order and totals per product in one scan, beneath the same ``keys``.
+
+    ``grain`` tells them apart.  Rows of a task are added up per order and per product
+    before they are shuffled, so the scan is what is saved.
+    """
+    loss = F.col(PROFIT) < 0
+    order, product = [*keys, "order_id"], [*keys, "product_key"]
+    sets = rows.groupingSets([order, product], *keys, "order_id", "product_key")
+    last_two = F.grouping_id().bitwiseAND(F.lit(3))
+    return sets.agg(
+        last_two.cast("int").alias("grain"),
+        F.count("*").alias("items"),
+        F.count_if(loss).alias("loss_items"),
+        F.sum(SALES).alias("sales"),
+        F.sum("order_item_quantity").alias("units"),
+        F.sum(PROFIT).alias("profit"),
+        F.sum(F.when(loss, F.col(PROFIT)).otherwise(0)).alias("lost"),
+        F.max("is_late").alias("is_late"),
+    )
+
+
+def _per_product(grains: DataFrame, *keys: str) -> DataFrame:
+    """Orders added up to one row beneath ``keys``; one row per product stays."""
+    return grains.groupBy(*keys, "grain", "product_key").agg(
+        F.count("*").alias("groups"),
+        F.sum("is_late").alias("late"),
+        *[F.sum(name).alias(name) for name in ("items", "loss_items", "sales", "units", "profit", "lost")],
+    )
+
+
+def _of(grain: int, name: str) -> Column:
+    return F.when(F.col("grain") == grain, F.col(name))
+
+
 def executive_kpis(star: Star, top_products: int = 8) -> DataFrame:
     """One row of headline numbers.
 
-    Totals are taken from the order-grain rollup that the late rate needs
-    anyway, so the fact is shuffled once for seven of the nine columns.
+    The fact is read once for totals per order, which the late rate needs, and for
+    losses per product; what is read twice is their small summary.
     """
-    loss = F.col(PROFIT) < 0
-    orders = (
-        _with_profile(star, "delivery_status")
-        .groupBy("order_id")
-        .agg(
-            F.max(F.when(_status(LATE), 1).otherwise(0)).alias("is_late"),
-            F.count("*").alias("items"),
-            F.count_if(loss).alias("loss_items"),
-            F.sum(SALES).alias("sales"),
-            F.sum(PROFIT).alias("profit"),
-            F.sum(F.when(loss, F.col(PROFIT)).otherwise(0)).alias("lost"),
-        )
+    rows = _with_profile(star, "delivery_status").select(
+        "order_id", "product_key", SALES, PROFIT, "order_item_quantity",
+        F.when(_status(LATE), 1).otherwise(0).alias("is_late"),
+    )
+    named = _per_product(_two_grains(rows)).join(
+        star.product.select("product_key", "product_name"), "product_key", "left"
+    )
+    summed = ["groups", "late", "items", "loss_items", "sales", "profit", "lost"]
+    summary = _kept(
+        star, named.groupBy("grain", "product_name").agg(*[F.sum(name).alias(name) for name in summed])
     )
-    total_items, total_orders = F.sum("items"), F.count("*")
-    headline = orders.agg(
-        money(F.sum("sales")).alias("total_sales"),
-        money(F.sum("profit")).alias("net_profit"),
-        ratio_pct(F.sum("profit"), F.sum("sales")).alias("profit_margin_pct"),
+
+    totals = summary.agg(*[F.sum(_of(_BY_ORDER, name)).alias(name) for name in summed])
+    total_orders = F.coalesce("groups", F.lit(0)).cast("long")
+    total_items = F.coalesce("items", F.lit(0)).cast("long")
+    headline = totals.select(
+        money(F.col("sales")).alias("total_sales"),
+        money(F.col("profit")).alias("net_profit"),
+        ratio_pct(F.col("profit"), F.col("sales")).alias("profit_margin_pct"),
         total_orders.alias("total_orders"),
-        F.coalesce(total_items, F.lit(0)).alias("total_order_items"),
-        ratio_pct(F.sum("loss_items"), total_items).alias("loss_making_item_rate_pct"),
-        money(F.abs(F.sum("lost"))).alias("total_negative_profit"),
-        ratio_pct(F.sum("is_late"), total_orders).alias("late_delivery_rate_pct"),
+        total_items.alias("total_order_items"),
+        ratio_pct(F.col("loss_items"), F.col("items")).alias("loss_making_item_rate_pct"),
+        money(F.abs(F.col("lost"))).alias("total_negative_profit"),
+        ratio_pct(F.col("late"), F.col("groups")).alias("late_delivery_rate_pct"),
+    )
+    losses = summary.where((F.col("grain") == _BY_PRODUCT) & (F.col("lost") < 0)).select(
+        "product_name", F.col("lost").alias("negative_profit"), F.abs("lost").alias("loss")
     )
-    losses = _kept(star, product_losses(star).withColumn("loss", F.abs("negative_profit")))
     share = f"top_{top_products}_negative_profit_share_pct"
     combined = one_row([headline, top_k_share(losses, "loss", top_products, _loss_order(), share)])
     *before, late = headline.columns
@@ -110,52 +153,37 @@ def executive_kpis(star: Star, top_products: int = 8) -> DataFrame:
 def monthly_coverage(
     star: Star, first_month: tuple[int, int] = (2017, 8), last_month: tuple[int, int] = (2018, 12)
 ) -> DataFrame:
-    """Product and category coverage per month.
+    """Product and category coverage per month, in one scan of the period.
 
-    Date keys are ordered like dates, so the period is a range on the fact
-    that reaches the file scan.  Products and categories come from month and
-    product totals; only order ids need their own distinct count.
+    Date keys are ordered like dates, so the period is a range on the fact that reaches
+    the file scan, and a month is the key without its day.
     """
     first, last = (year * 10000 + month * 100 for year, month in (first_month, last_month))
-    in_period = F.col("order_date_key").between(first, last + 99)
-    months = star.date.select(F.col("date_key").alias("order_date_key"), "year", "month", "month_name")
-    fact = star.fact.where(in_period)
-    by_month = ["year", "month", "month_name"]
-
-    per_product = (
-        lookup_join(
-            fact.groupBy("order_date_key", "product_key").agg(
-                F.sum(SALES).alias("sales"), F.sum("order_item_quantity").alias("units")
-            ),
-            months,
-            ["order_date_key"],
-            keys_from=fact,
-        )
-        .groupBy(*by_month, "product_key")
-        .agg(F.sum("sales").alias("sales"), F.sum("units").alias("units"))
+    month_of = lambda key: F.call_function("div", F.col(key), F.lit(100))
+    rows = star.fact.where(F.col("order_date_key").between(first, last + 99)).select(
+        month_of("order_date_key").alias("month_key"),
+        "order_id", "product_key", SALES, PROFIT, "order_item_quantity", F.lit(0).alias("is_late"),
     )
+    categories = star.product.select("product_key", "category_name")
+    months = star.date.select(month_of("date_key").alias("month_key"), "year", "month", "month_name").distinct()
     coverage = (
-        lookup_join(
-            per_product, star.product.select("product_key", "category_name"), ["product_key"],
-            keys_from=fact,
-        )
-        .groupBy(*by_month)
+        _per_product(_two_grains(rows, "month_key"), "month_key")
+        .join(categories, "product_key", "left")
+        .groupBy("month_key")
         .agg(
-            F.count("*").alias("distinct_products"),
-            F.count_distinct("category_name").alias("distinct_categories"),
-            F.sum("sales").alias("sales"),
-            F.sum("units").alias("units"),
+            F.sum(_of(_BY_PRODUCT, "groups")).alias("distinct_products"),
+            F.count_distinct(_of(_BY_PRODUCT, "category_name")).alias("distinct_categories"),
+            F.sum(_of(_BY_PRODUCT, "sales")).alias("sales"),
+            F.sum(_of(_BY_PRODUCT, "units")).alias("units"),
+            F.sum(_of(_BY_ORDER, "groups")).alias("orders"),
         )
     )
-    orders = (
-        lookup_join(fact.select("order_date_key", "order_id"), months, ["order_date_key"], keys_from=fact)
-        .groupBy("year", "month")
-        .agg(F.count_distinct("order_id").alias("orders"))
-    )
     return (
-        coverage.join(orders, ["year", "month"])
+        coverage.join(months, "month_key")
         .select(
-            *by_month,
+            "year",
+            "month",
+            "month_name",
             "distinct_products",
             "distinct_categories",
             ratio(F.col("sales"), F.col("units")).alias("sales_per_unit"),

@@ -428,6 +428,12 @@ def _cleaning() -> dict[str, str]:
         f"{_big('sum(length(category_name))')} as category_characters, "
         "count(*) filter (where product_name <> trim(product_name, ' ')) as padded_product_names from raw"
     )
+    street = """customer_street || chr(10) || customer_city || '"' || chr(10)"""
+    found["io1_multiline_import"] = _on_raw(
+        "select count(*) as total_rows, count(distinct order_item_id) as distinct_order_items, "
+        f"count({street}) as streets_of_lines, {_big(f'sum(length({street}))')} as street_characters, "
+        f"{_big('sum(length(category_name))')} as category_characters from raw"
+    )
     return found
 
 

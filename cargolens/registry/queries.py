@@ -535,6 +535,21 @@ def _files() -> dict[str, Query]:
             F.count_if(P.has_outer_spaces(F.col("product_name"))).alias("padded_product_names"),
         )
 
+    def multiline_import(spark: SparkSession, folder: str) -> DataFrame:
+        """Raw rows with line breaks and quotes inside a field, exported and imported again."""
+        warehouse = _warehouse(spark, folder, "bronze")
+        path = warehouse.workspace.fresh_path("multiline")
+        street = F.concat("customer_street", F.lit("\n"), "customer_city", F.lit('"\n'))
+        write_export(warehouse.bronze.withColumn("customer_street", street), path)
+        imported = read_export(spark, path, multiline=True)
+        return imported.agg(
+            F.count("*").alias("total_rows"),
+            F.count_distinct("order_item_id").alias("distinct_order_items"),
+            F.count_if(F.col("customer_street").contains("\n")).alias("streets_of_lines"),
+            F.sum(F.char_length("customer_street")).alias("street_characters"),
+            F.sum(F.char_length("category_name")).alias("category_characters"),
+        )
+
     def pruned_scan(s: G.Star) -> DataFrame:
         """Two fact columns over one year of order dates."""
         year = s.fact.where(F.col("order_date_key").between(19980101, 19981231))
@@ -542,6 +557,7 @@ def _files() -> dict[str, Query]:
 
     return {
         "io1_csv_import": csv_import,
+        "io1_multiline_import": multiline_import,
         "io2_bronze_table": _on(bronze, lambda d: d),
         "io3_silver_table": _on(silver, lambda d: d),
         "io5_pruned_scan": _on(star, pruned_scan),

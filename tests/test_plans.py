@@ -61,7 +61,7 @@ def plans(star, spark, tmp_path):
 
 
 REPORTS = {
-    analyses.executive_kpis: 2, analyses.monthly_coverage: 2, analyses.loss_summary: 1,
+    analyses.executive_kpis: 1, analyses.monthly_coverage: 1, analyses.loss_summary: 1,
     analyses.category_losses: 1, analyses.worst_products: 1, analyses.loss_concentration: 1,
     analyses.discount_margin: 1, analyses.discount_loss_rate: 1, analyses.delivery_outcomes: 1,
     analyses.shipping_mode_performance: 1, analyses.delay_severity: 1,
