@@ -14,9 +14,13 @@
 4. Links become components.  A bucket whose nodes are in one component is done: no
    link inside it can change anything.  In the others the nodes outside the largest
    component are compared with all of the bucket, byte rows against byte rows in
-   blocks; only pairs that pass come out, and are verified as before.  So a bucket
-   emits no more than its stars and its likely links, and no pair of one bucket and two
-   components stays untested.
+   blocks.  Of the pairs that pass, a block hands on a spanning forest only.
+5. The components of these forests are clusters: each pair that passed lies in one of
+   them.  The texts of a cluster meet in blocks, where all pairs of different components
+   are compared by their full shingle sets, and again a spanning forest of the links comes
+   out.  So no step emits more rows than it has nodes and blocks, however many pairs of
+   a group lie just below the similarity, and no pair of one bucket and two components
+   stays untested.
 
 Cases: null and empty texts have no shingles and are linked with nothing; a text of
 fewer than five words has its whole sequence as its only shingle; rows of one doc_id
@@ -29,7 +33,7 @@ others; an empty table gives no rows.  Extra columns are not read.
 from __future__ import annotations
 
 import hashlib
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pandas as pd
@@ -47,6 +51,9 @@ HASHES = 256  # universal hashes; the first BANDS * ROWS make the bands, all are
 LEAST_EQUAL = 160  # bytes of the minima that must agree before sets are compared
 BLOCK = 2048  # nodes of a bucket that are compared with as many at a time
 PER_PIECE = 256  # pairs that one copy of a centre's text serves
+SIDE, SIDE_SHINGLES = 1024, 1 << 21  # texts, and their shingles, that meet as many of a cluster
+
+_WORD = r"[^\x20\x09-\x0D]"  # what a text with a word has
 
 _random = np.random.RandomState(20240229)
 
@@ -211,45 +218,95 @@ def _likely_stars(members: DataFrame, nodes: DataFrame) -> DataFrame:
     )
 
 
+def _joined(label: np.ndarray, i: int, others: np.ndarray) -> np.ndarray:
+    """One of ``others`` for each label that is not i's; all these labels become i's."""
+    labels, first = np.unique(label[others], return_index=True)
+    new = labels != label[i]
+    label[np.isin(label, labels[new])] = label[i]
+    return others[first[new]]
+
+
+def _forest(node: np.ndarray, found: list[tuple[int, np.ndarray]]) -> pa.RecordBatch:
+    """Pairs (a, b) of nodes from the places that ``_joined`` gave."""
+    none = [np.empty(0, np.int64)]
+    a = np.concatenate(none + [node[others] for _, others in found])
+    b = np.concatenate(none + [np.full(len(others), node[i]) for i, others in found])
+    return pa.record_batch({"a": pa.array(a), "b": pa.array(b)})
+
+
 def _compared(block: pa.Table) -> pa.RecordBatch:
-    """Likely pairs of the left nodes of a block (outside the largest component) and all."""
+    """Likely pairs of the left nodes of a block (outside the largest component) and all:
+    as many as connect what all of them would connect."""
     left = block["left"].to_numpy()
     node, size, component = (block[c].to_numpy() for c in ("node", "size", "component"))
     outside = block["outside"].to_numpy()
     checks = np.frombuffer(b"".join(block["checks"].to_pylist()), np.uint8).reshape(-1, HASHES)
     right = np.flatnonzero(block["right"].to_numpy())
-    a, b = [np.empty(0, np.int64)], [np.empty(0, np.int64)]
+    label = np.unique(node, return_inverse=True)[1]  # a node may stand on both sides
+    found = []
     for i in np.flatnonzero(left):
         # Of two nodes that are both outside, the smaller has the larger on its right.
         fit = right[(component[right] != component[i]) & ~(outside[right] & (node[right] < node[i]))]
+        fit = fit[label[fit] != label[i]]
         least, most = np.minimum(size[fit], size[i]), np.maximum(size[fit], size[i])
         fit = fit[100 * least >= SIMILARITY * most]
         fit = fit[(checks[fit] == checks[i]).sum(1) >= LEAST_EQUAL]
-        a.append(node[fit])
-        b.append(np.full(len(fit), node[i]))
-    return pa.record_batch({"a": pa.array(np.concatenate(a)), "b": pa.array(np.concatenate(b))})
-
-
-def _by_block(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """``_compared`` of every run of rows with one (bucket, left_block, right_block)."""
-    rest: pa.Table | None = None
+        found.append((i, _joined(label, i, fit)))
+    return _forest(node, found)
+
+
+def _verified(block: pa.Table) -> pa.RecordBatch:
+    """Similar pairs of a block's left and right texts: a forest over their components."""
+    node = block["node"].to_numpy()
+    left, right = (np.flatnonzero(block[c].to_numpy()) for c in ("left", "right"))
+    if not len(left) or not len(right):
+        return _forest(node, [])
+    sets = [_hashed(words_of(text.as_py())) for text in block["text"]]
+    label = np.unique(block["component"].to_numpy(), return_inverse=True)[1]
+    size = np.array([len(own) for own in sets])
+    values, numbers = np.unique(np.concatenate(sets), return_inverse=True)
+    own = np.split(numbers, np.cumsum(size)[:-1])
+    on_right = np.concatenate([own[j] for j in right])
+    starts = np.r_[0, np.cumsum(size[right])[:-1]]
+    marked = np.zeros(len(values), np.int64)
+    found = []
+    for i in left:
+        if (label[right] == label[i]).all():
+            continue
+        marked[own[i]] = 1
+        both = np.add.reduceat(marked[on_right], starts)
+        marked[own[i]] = 0
+        similar = 100 * both >= SIMILARITY * (size[i] + size[right] - both)
+        found.append((i, _joined(label, i, right[similar])))
+    return _forest(node, found)
+
+
+def _by_block(
+    batches: Iterator[pa.RecordBatch], body: Callable[[pa.Table], pa.RecordBatch], *names: str
+) -> Iterator[pa.RecordBatch]:
+    """``body`` of every run of rows with one value of the number columns ``names``."""
+    parts: list[pa.Table] = []  # of the run that may go on in the next batch
+    last = None
     for batch in batches:
         if not batch.num_rows:
             continue
         table = pa.Table.from_batches([batch])
-        table = table if rest is None else pa.concat_tables([rest, table])
-        keys = [table[c].to_numpy() for c in ("bucket", "left_block", "right_block")]
+        keys = [table[c].to_numpy() for c in names]
         change = np.logical_or.reduce([k[1:] != k[:-1] for k in keys])
-        starts = np.r_[0, np.flatnonzero(change) + 1]
+        starts = np.r_[0, np.flatnonzero(change) + 1, len(table)]
         for start, end in zip(starts[:-1], starts[1:]):
-            yield _compared(table.slice(start, end - start))
-        rest = table.slice(starts[-1])  # may go on in the next batch
-    if rest is not None:
-        yield _compared(rest)
+            key = tuple(k[start] for k in keys)
+            if parts and key != last:
+                yield body(pa.concat_tables(parts))
+                parts = []
+            parts.append(table.slice(start, end - start))
+            last = key
+    if parts:
+        yield body(pa.concat_tables(parts))
 
 
 def _likely_rest(members: DataFrame, components_: DataFrame, nodes: DataFrame, scratch: Scratch) -> DataFrame:
-    """Pairs (a, b) of different components in one bucket that may be similar."""
+    """Pairs (a, b) of different components in one bucket that may be similar, as forests."""
     named = members.join(components_.toDF("node", "component"), "node", "left").select(
         "bucket", "node", "size", F.coalesce("component", "node").alias("component")
     )
@@ -292,7 +349,40 @@ def _likely_rest(members: DataFrame, components_: DataFrame, nodes: DataFrame, s
     keys = ("bucket", "left_block", "right_block")
     kind = nodes.schema["node"].dataType.simpleString()
     grouped = both.repartition(*keys).sortWithinPartitions(*keys)
-    return grouped.mapInArrow(_by_block, f"a {kind}, b {kind}").distinct()
+    return grouped.mapInArrow(
+        lambda batches: _by_block(batches, _compared, *keys), f"a {kind}, b {kind}"
+    ).distinct()
+
+
+def _similar_rest(
+    likely: DataFrame, components_: DataFrame, texts: DataFrame, scratch: Scratch
+) -> DataFrame:
+    """Similar pairs (a, b) of different components in one cluster of likely pairs, as forests."""
+    pointers = components(likely.toDF("u", "v"), scratch).toDF("node", "cluster")
+    tops = pointers.select(F.col("cluster").alias("node"), "cluster").distinct()
+    rows = pointers.unionByName(tops).join(texts, "node").join(
+        components_.toDF("node", "component"), "node", "left"
+    ).select("cluster", "node", F.coalesce("component", "node").alias("component"), "text")
+    rows = scratch.table(rows, "clusters")
+    # A text has no more shingles than half its bytes.
+    shingles = F.sum(F.octet_length("text")) / 2
+    blocks = rows.groupBy("cluster").agg(
+        F.ceil(F.greatest(F.count("*") / SIDE, shingles / SIDE_SHINGLES)).cast("int").alias("blocks")
+    )
+    own, other = F.pmod(F.xxhash64("node"), F.col("blocks")).cast("int"), F.col("other")
+    met = rows.join(blocks, "cluster").select(
+        "cluster", own.alias("own"), F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("other"),
+        "node", "component", "text",
+    ).select(
+        "cluster", F.least("own", "other").alias("left_block"), F.greatest("own", "other").alias("right_block"),
+        (F.col("own") <= other).alias("left"), (F.col("own") >= other).alias("right"),
+        "node", "component", "text",
+    )
+    keys = ("cluster", "left_block", "right_block")
+    kind = texts.schema["node"].dataType.simpleString()
+    return met.repartition(*keys).sortWithinPartitions(*keys).mapInArrow(
+        lambda batches: _by_block(batches, _verified, *keys), f"a {kind}, b {kind}"
+    )
 
 
 def link_components(nodes: DataFrame, texts: DataFrame, scratch: Scratch) -> DataFrame:
@@ -302,8 +392,9 @@ def link_components(nodes: DataFrame, texts: DataFrame, scratch: Scratch) -> Dat
     texts = scratch.table(texts.join(wanted, "node", "left_semi"), "texts")
     links = _links(_likely_stars(members, nodes), texts, scratch)
     found = components(links, scratch)
-    more = _links(_likely_rest(members, found, nodes, scratch), texts, scratch)
-    scratch.drop(members, texts, links)
+    likely = scratch.table(_likely_rest(members, found, nodes, scratch), "likely_rest")
+    more = _links(_similar_rest(likely, found, texts, scratch), texts, scratch)
+    scratch.drop(members, texts, links, likely)
     return found if more.isEmpty() else components(found.unionByName(more), scratch)
 
 
@@ -317,7 +408,7 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
         F.first("checks").alias("checks"),
     ).where("node IS NOT NULL")
     classes = scratch.table(classes, "classes")
-    texts = docs.select(F.col("doc_id").alias("node"), "text").where("text IS NOT NULL")
+    texts = docs.select(F.col("doc_id").alias("node"), "text").where(F.col("text").rlike(_WORD))
     found = link_components(classes.select("node", "size", "bands", "checks"), texts, scratch)
 
     # Only classes of several rows or with links need a look-up; others name themselves.

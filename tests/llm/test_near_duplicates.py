@@ -71,7 +71,17 @@ def family(seed=4, n=60):
     return [(*r, None, None, None) for r in rows]
 
 
-@pytest.mark.parametrize("rows", [[], edges(), corpus(), family()], ids=["empty", "edges", "corpus", "family"])
+def just_below(n=30, seed=9):
+    """Copies of one text, each pair of them just below or just above the similarity."""
+    rng = random.Random(seed)
+    base = " ".join(words(rng, "fr", 220))
+    return [(5000 + i, edited(rng, base, rng.choice([4, 5, 6])), None, None, None) for i in range(n)]
+
+
+@pytest.mark.parametrize(
+    "rows", [[], edges(), corpus(), family(), just_below(), just_below(12) + edges()],
+    ids=["empty", "edges", "corpus", "family", "just_below", "just_below_and_edges"],
+)
 def test_same_as_all_pairs(spark, tmp_path, rows):
     found = op7_minhash_dedup(spark, folder(clashing(documents(spark, rows)), tmp_path / "in")).collect()
     assert sorted(map(tuple, found), key=str) == brute(rows)
@@ -79,7 +89,8 @@ def test_same_as_all_pairs(spark, tmp_path, rows):
 
 def test_blocks_of_few_nodes_find_the_same(spark, tmp_path, monkeypatch):
     monkeypatch.setattr(near_duplicates, "BLOCK", 3)
-    rows = family(n=12)
+    monkeypatch.setattr(near_duplicates, "SIDE", 3)
+    rows = family(n=12) + just_below()
     found = op7_minhash_dedup(spark, folder(documents(spark, rows), tmp_path / "in")).collect()
     assert sorted(map(tuple, found), key=str) == brute(rows)
 
@@ -99,6 +110,49 @@ def test_pairs_outside_the_largest_component_are_compared():
     assert sorted(zip(*(found[c].to_pylist() for c in "ab"))) == [(5, 7), (6, 7)]
 
 
+def test_a_block_hands_on_a_forest():
+    import pyarrow as pa
+
+    n = 200
+    table = pa.table({
+        "left": [True] * n, "right": [True] * n, "node": range(n), "component": range(n), "outside": [True] * n,
+        "size": [10] * n, "checks": [bytes([k % 2]) * near_duplicates.HASHES for k in range(n)],
+    })
+    found = near_duplicates._compared(table)
+    top = _parents(zip(*(found[c].to_pylist() for c in "ab")), range(n))
+    assert found.num_rows == n - 2 and set(top.values()) == {0, 1}
+
+
+@pytest.mark.parametrize("split", [False, True])
+def test_texts_of_a_cluster_are_compared_whole(split):
+    import pyarrow as pa
+
+    rows = just_below(40)
+    sets = [shingles(t) for _, t, *_ in rows]
+    component = [i - i % 2 for i in range(40)]  # what is known to be one already
+    side = [i < 15 for i in range(40)] if split else [True] * 40
+    other = [not x for x in side] if split else side
+    table = pa.table({"node": range(40), "component": component, "text": [t for _, t, *_ in rows], "left": side, "right": other})
+    found = near_duplicates._verified(table)
+    pairs = list(zip(*(found[c].to_pylist() for c in "ab")))
+    like = lambda a, b: 100 * len(sets[a] & sets[b]) >= 75 * len(sets[a] | sets[b])
+    assert all(like(a, b) for a, b in pairs) and len(pairs) < 20
+    known = list(enumerate(component))
+    every = [(a, b) for a in range(40) for b in range(a) if like(a, b) and (not split or side[a] != side[b])]
+    assert every and _parents(pairs + known, range(40)) == _parents(every + known, range(40))
+
+
+def test_texts_without_words_of_linked_documents_link_nothing(spark, tmp_path):
+    one, other = just_below(2)[0][1], " ".join(words(random.Random(3), "de", 200))
+    rows = [(1, one), (1, " "), (2, one + " tail"), (3, other), (3, "\t"), (4, other + " tail"), (5, "\n"), (6, "")]
+    rows = [(*r, None, None, None) for r in rows]
+    found = op7_minhash_dedup(spark, folder(documents(spark, rows), tmp_path / "in")).collect()
+    with_words = {r["doc_id"]: r["component_id"] for r in found if r["n_shingles"]}
+    assert with_words == {1: 1, 2: 1, 3: 3, 4: 3}
+    without = [r for r in found if not r["n_shingles"]]
+    assert len(without) == 4 and all(r["kept"] and r["component_id"] == r["doc_id"] for r in without)
+
+
 def test_estimate_of_the_signature():
     rng = random.Random(1)
     text = " ".join(words(rng, "de", 400))
