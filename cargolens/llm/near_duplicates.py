@@ -167,9 +167,20 @@ def _sizes_allow(a: str, b: str):
     return F.expr(f"100 * least({a}, {b}) >= {SIMILARITY} * greatest({a}, {b})")
 
 
+def _texts_of(nodes: DataFrame, texts: DataFrame, scratch: Scratch) -> DataFrame:
+    """Texts of some nodes.  These are written first, so that Spark sees whether they are
+    few enough to go to the texts; else the texts are shuffled."""
+    wanted = scratch.table(nodes.distinct(), "wanted")
+    found = scratch.table(texts.join(wanted, "node", "left_semi"), "texts")
+    scratch.drop(wanted)
+    return found
+
+
 def _links(likely: DataFrame, texts: DataFrame, scratch: Scratch) -> DataFrame:
     """The pairs (a, b) that are similar, as edges (u, v); a is the likelier hot side."""
     likely = scratch.table(likely, "likely")
+    both = likely.select(F.col("a").alias("node")).unionByName(likely.select(F.col("b").alias("node")))
+    texts = _texts_of(both, texts, scratch)
     # A node in many pairs is copied, once for every PER_PIECE pairs, and its pairs are
     # dealt out among the copies.
     pieces = likely.groupBy("a").agg(F.ceil(F.count("*") / PER_PIECE).cast("int").alias("pieces"))
@@ -185,7 +196,7 @@ def _links(likely: DataFrame, texts: DataFrame, scratch: Scratch) -> DataFrame:
         _confirmed, f"u {kind}, v {kind}"
     )
     found = scratch.table(found, "links")
-    scratch.drop(likely)
+    scratch.drop(likely, texts)
     return found
 
 
@@ -360,10 +371,13 @@ def _similar_rest(
     """Similar pairs (a, b) of different components in one cluster of likely pairs, as forests."""
     pointers = components(likely.toDF("u", "v"), scratch).toDF("node", "cluster")
     tops = pointers.select(F.col("cluster").alias("node"), "cluster").distinct()
-    rows = pointers.unionByName(tops).join(texts, "node").join(
+    clusters = scratch.table(pointers.unionByName(tops), "pointers")
+    texts = _texts_of(clusters.select("node"), texts, scratch)
+    rows = clusters.join(texts, "node").join(
         components_.toDF("node", "component"), "node", "left"
     ).select("cluster", "node", F.coalesce("component", "node").alias("component"), "text")
     rows = scratch.table(rows, "clusters")
+    scratch.drop(texts, clusters)
     # A text has no more shingles than half its bytes.
     shingles = F.sum(F.octet_length("text")) / 2
     blocks = rows.groupBy("cluster").agg(
@@ -388,13 +402,11 @@ def _similar_rest(
 def link_components(nodes: DataFrame, texts: DataFrame, scratch: Scratch) -> DataFrame:
     """(u, v): v is the smallest node of u's component, for all u that aren't the smallest."""
     members = _members(nodes, scratch)
-    wanted = members.select("node").distinct()
-    texts = scratch.table(texts.join(wanted, "node", "left_semi"), "texts")
     links = _links(_likely_stars(members, nodes), texts, scratch)
     found = components(links, scratch)
     likely = scratch.table(_likely_rest(members, found, nodes, scratch), "likely_rest")
     more = _links(_similar_rest(likely, found, texts, scratch), texts, scratch)
-    scratch.drop(members, texts, links, likely)
+    scratch.drop(members, links, likely)
     return found if more.isEmpty() else components(found.unionByName(more), scratch)
 
 
