@@ -124,6 +124,23 @@ def test_keys_that_do_not_number_their_ids_have_no_bitmap(spark, keys):
     assert joins.numbered_lookup(text, text, "id", "key", 1 << 20) is None
 
 
+def test_the_fact_load_shuffles_no_fact_row(spark):
+    """With tables beyond the session's limit, the rows were shuffled once for each."""
+    from cargolens.plans import star as model
+    from cargolens.registry import queries as registry
+
+    folder = "/root/testdata/sf0.001"
+    star, silver = registry.star(spark, folder), registry.silver(spark, folder)
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "100")
+    try:
+        fact = model.build_fact(silver, star.customer, star.product, star.destination, star.profile)
+        plan = plan_of(fact)
+        assert "SortMergeJoin" not in plan and not re.findall(r"Exchange hashpartitioning\((?!__word)", plan)
+        assert sorted(map(repr, fact.collect())) == sorted(map(repr, star.fact.collect()))
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+
+
 def test_what_is_broadcast_is_looked_up_last(spark, tmp_path):
     """Its text was shuffled with the rows."""
     def table(name, rows, text):
