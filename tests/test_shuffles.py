@@ -5,7 +5,7 @@ from __future__ import annotations
 import re
 
 import pytest
-from pyspark.sql import functions as F
+from pyspark.sql import Row, functions as F, types as T
 
 from cargolens.operators import joins, ranking
 
@@ -159,3 +159,28 @@ def test_what_is_broadcast_is_looked_up_last(spark, tmp_path):
         assert joined.count() == 1000
     finally:
         spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+
+
+def test_tables_that_add_little_are_looked_up_first(spark, tmp_path):
+    """What they add is shuffled again with the rows for each table after them."""
+    from cargolens.sources.layers import Layer
+
+    layer = Layer(spark, str(tmp_path), "gold", measured=True)
+    with layer.replaced():
+        for name, text in (("wide", "w" * 50), ("narrow", "n")):
+            table = spark.range(300).select(F.col("id").alias(f"{name}_id"), F.lit(text).alias(f"{name}_text"))
+            layer.refresh(table, name, table.schema)
+    wide, narrow = [layer.read(x, T.StructType().add(f"{x}_id", "long").add(f"{x}_text", "string")) for x in ("wide", "narrow")]
+    path = str(tmp_path / "facts")
+    spark.range(900).select((F.col("id") % 300).alias("a"), (F.col("id") % 200).alias("b")).write.parquet(path)
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "100")
+    try:
+        facts = spark.read.parquet(path)
+        lookups = [joins.Lookup(wide, [("a", "wide_id")]), joins.Lookup(narrow, [("b", "narrow_id")])]
+        joined = joins.lookup_joins(facts, lookups)
+        plan = plan_of(joined)
+        # The join at the top is the last one.
+        assert plan.index("Exchange hashpartitioning(a") < plan.index("Exchange hashpartitioning(b")
+        assert joined.where("wide_text LIKE 'w%' AND narrow_text = 'n'").count() == 900
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
