@@ -161,6 +161,39 @@ def test_what_is_broadcast_is_looked_up_last(spark, tmp_path):
         spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
 
 
+def test_nations_are_looked_up_for_customers_and_suppliers(spark, workspace, no_broadcast):
+    """Every line was joined, and so shuffled, once for each nation and for the region."""
+    from cargolens.plans import order_items
+
+    plan = plan_of(order_items.typed_items(spark, "/root/testdata/sf0.001", workspace))
+    found = [m.start() for m in re.finditer(r"Exchange hashpartitioning\((c_nationkey|s_nationkey|n_regionkey)", plan)]
+    # Above the numbered lines there is only the join with suppliers.
+    assert len(found) == 3 and min(found) > plan.index("row_number")
+
+
+def test_dictionaries_of_written_tables_are_small(spark, workspace):
+    """A megabyte for each of some fifty columns does not stay in a core's cache."""
+    pq = pytest.importorskip("pyarrow.parquet")
+    rows = spark.range(0, 60_000, 1, 1).select(F.sha2((F.col("id") % 6000).cast("string"), 256).alias("text"))
+    written = workspace.materialize(rows, "texts")
+    assert written.distinct().count() == 6000
+    chunk = pq.ParquetFile(written.inputFiles()[0].removeprefix("file://")).metadata.row_group(0).column(0)
+    assert chunk.data_page_offset - (chunk.dictionary_page_offset or chunk.data_page_offset) < 100_000
+
+
+@pytest.mark.parametrize("inclusive", [True, False])
+def test_range_numbers_of_keys_that_share_their_first_column_with_a_cut(spark, inclusive):
+    cuts = [(2, 5), (4, None), (4, 1), (4, 7), (9, 0)]
+    rows = [(a, b) for a in [None, 1, 2, 3, 4, 8, 9, 10] for b in [None, 0, 1, 5, 7, 9]]
+    df = spark.createDataFrame(rows, "a long, b long")
+    keys = [ranking._Key("a", False, False), ranking._Key("b", False, True)]
+    place = lambda row: (row[0] is None, row[0] or 0, row[1] is not None, row[1] or 0)
+    number = ranking._range_number(df, keys, [Row(a=a, b=b) for a, b in cuts], inclusive)
+    got = {(r["a"], r["b"]): r["n"] for r in df.select("a", "b", number.alias("n")).collect()}
+    reached = (lambda x, y: x >= y) if inclusive else (lambda x, y: x > y)
+    assert got == {row: sum(reached(place(row), place(cut)) for cut in cuts) for row in rows}
+
+
 def test_tables_that_add_little_are_looked_up_first(spark, tmp_path):
     """What they add is shuffled again with the rows for each table after them."""
     from cargolens.sources.layers import Layer
