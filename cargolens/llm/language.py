@@ -22,24 +22,29 @@ Cases: a text that is null or without a letter is ``und`` with score 0; rows wit
 text or label teach nothing; with no labelled text at all every text is ``und``; very
 long texts are read in parts; equal texts get equal results; an empty table gives no
 rows.  The prediction reads the text alone.
+
+A worker holds the model, one Arrow batch, ``_BLOCK`` of its texts and the arrays of one
+part of them, and gives free memory back when its task ends.
 """
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
 from dataclasses import dataclass
+from itertools import islice
 
 import numpy as np
-import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
-from cargolens.llm.common import Scratch, read
+from cargolens.llm.common import Scratch, give_back_memory, read
 
 UNKNOWN = "und"
 _SPACE = 32
 _TABLE_BITS = 18
 _MIX = np.uint64(0x9E3779B97F4A7C15)  # a fixed odd number that spreads codes over the table
-_PART = 1_000_000  # characters that are turned into n-grams at a time
+_PART = 200_000  # characters that are turned into n-grams at a time, at some 80 bytes each
+_BLOCK = 128  # texts that are scored at a time
 
 _letters: list[np.ndarray] = []
 
@@ -97,6 +102,19 @@ def _parts(texts: list[str]) -> Iterator[tuple[list[int], list[str]]]:
         yield rows, found
 
 
+def _unpacked(texts: pa.Array) -> Iterator[str | None]:
+    """Values of an Arrow array; only ``_BLOCK`` of them are Python objects at a time."""
+    for at in range(0, len(texts), _BLOCK):
+        yield from texts.slice(at, _BLOCK).to_pylist()
+
+
+def _lettered(texts: Iterable[str | None]) -> Iterator[tuple[list[int], list[str]]]:
+    """Places and values of the texts that hold a letter, ``_BLOCK`` at a time."""
+    found = ((i, t) for i, t in enumerate(texts) if t and any(map(str.isalpha, t)))
+    while block := list(islice(found, _BLOCK)):
+        yield [i for i, _ in block], [t for _, t in block]
+
+
 @dataclass
 class Model:
     """Weights and the spectrum; a few megabytes at most, whatever the corpus."""
@@ -125,16 +143,13 @@ class Model:
         sizes = np.maximum(presence.sum(1, keepdims=True), 1)
         return presence @ self.landmarks / np.sqrt(sizes * self.landmark_sizes)
 
-    def predict(self, texts: list[str | None]) -> tuple[list[str], np.ndarray]:
+    def predict(self, texts: list[str | None] | pa.Array) -> tuple[list[str], np.ndarray]:
         """Language and its part (0 to 1) of all positive scores."""
         names, scores = [UNKNOWN] * len(texts), np.zeros(len(texts))
-        lettered = [i for i, t in enumerate(texts) if t and any(map(str.isalpha, t))]
         if not self.languages:
             return names, scores
-        for block in np.array_split(lettered, range(128, len(lettered), 128)):
-            if not len(block):
-                continue
-            kernels = self.kernels(self.presence([texts[i] for i in block]))
+        for block, own in _lettered(_unpacked(texts) if isinstance(texts, pa.Array) else texts):
+            kernels = self.kernels(self.presence(own))
             values = kernels @ self.weights + self.bias
             best = values.argmax(1)
             positive = np.maximum(values, 0)
@@ -153,6 +168,8 @@ def fit(
     ridge: float = 1e-3,
 ) -> Model:
     """Learn from labelled texts; they are few, so this runs where it is called."""
+    import pandas as pd  # not needed by the workers, which only predict
+
     names = sorted(set(languages))
     found: list[tuple[np.ndarray, np.ndarray]] = []
     for rows, part in _parts(texts):
@@ -257,11 +274,14 @@ def language(spark: SparkSession, model: Model, text: Column) -> Column:
     """Struct of lang_pred and score for a text column."""
     shared = spark.sparkContext.broadcast(model)  # bounded by the model's parameters
 
-    @F.pandas_udf("struct<lang_pred: string, score: double>")
-    def predict(batches: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
+    @F.arrow_udf("struct<lang_pred: string, score: double>")
+    def predict(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
         for texts in batches:
-            names, scores = shared.value.predict([None if pd.isna(t) else t for t in texts])
-            yield pd.DataFrame({"lang_pred": names, "score": scores})
+            names, scores = shared.value.predict(texts)
+            yield pa.StructArray.from_arrays(
+                [pa.array(names, pa.string()), pa.array(scores)], ["lang_pred", "score"]
+            )
+        give_back_memory()
 
     return predict(text)
 

@@ -32,7 +32,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from cargolens.llm.byte_pairs import byte_letters
-from cargolens.llm.common import Scratch, dense_slots, read
+from cargolens.llm.common import Scratch, dense_slots, give_back_memory, read
 
 CAPACITY = 4096
 END_ID = 1
@@ -139,6 +139,7 @@ def pieces(docs: DataFrame, tokenizer_file: str, capacity: int = CAPACITY) -> Da
                 }
             )
         own.forget()  # an idle worker keeps no words
+        give_back_memory()
 
     kind = docs.schema["doc_id"].dataType.simpleString()
     schema = f"doc_id {kind}, piece int, start long, length long, ids_crc32 long"

@@ -1,8 +1,13 @@
 import random
+import subprocess
+import sys
+import tracemalloc
 import zlib
 
 import numpy as np
+import pyarrow as pa
 import pytest
+from pyspark.sql import functions as F
 
 from cargolens.llm import language
 from cargolens.llm.language import fit, op4_language_id, training_sample
@@ -100,3 +105,29 @@ def test_labels_with_long_texts_only_are_learnt(spark):
     assert langs.count("de") == 4 and langs.count("en") == 20
     assert {t for t, k in zip(texts, langs) if k == "de"} == {r[1] for r in rows if r[2] == "de"}
     assert rows[-1][1] not in texts
+
+
+def test_a_batch_is_not_unpacked_as_a_whole(monkeypatch):
+    monkeypatch.setattr(language, "_PART", 20_000)
+    texts, langs = _labelled(40)
+    model = fit(texts, langs)
+    many = [None if i % 7 == 0 else texts[i % 40] * 80 for i in range(1000)]
+    batch = pa.array(many)
+    wanted = model.predict(many)
+    tracemalloc.start()
+    names, scores = model.predict(batch)
+    _, most = tracemalloc.get_traced_memory()
+    tracemalloc.stop()
+    assert (names, scores.tolist()) == (wanted[0], wanted[1].tolist())
+    # Some blocks of texts, one presence matrix and the arrays of one part; not a copy of the batch.
+    assert len(batch) > 7 * language._BLOCK and batch.nbytes > 15_000_000
+    assert most < batch.nbytes // 3 + 2 * 4 * language._BLOCK * model.n_grams + 100 * 20_000 < batch.nbytes
+
+
+def test_workers_need_no_pandas(spark):
+    texts, langs = _labelled(40)
+    found = language.language(spark, fit(texts, langs), F.col("text"))
+    rows = spark.createDataFrame([(t,) for t in texts[:3]] + [(None,)], "text string").select(found.alias("f")).collect()
+    assert [r["f"]["lang_pred"] for r in rows][3] == language.UNKNOWN
+    code = "import sys, cargolens.llm.language; print('pandas' in sys.modules)"
+    assert subprocess.run([sys.executable, "-c", code], capture_output=True, text=True, check=True).stdout == "False\n"
