@@ -36,12 +36,11 @@ import hashlib
 from collections.abc import Callable, Iterator
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
-from cargolens.llm.common import Scratch, read
+from cargolens.llm.common import Scratch, give_back_memory, read, small_batches
 from cargolens.llm.components import components
 
 WORDS = 5
@@ -100,7 +99,7 @@ def signatures(docs: DataFrame) -> DataFrame:
     """doc_id, n_shingles, content (digest of the words), bands and bytes of the minima."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in small_batches(batches):
             sizes, contents, bands, checks = [], [], [], []
             for text in batch["text"]:
                 found = words_of(text.as_py())
@@ -133,11 +132,11 @@ def signatures(docs: DataFrame) -> DataFrame:
     return docs.select("doc_id", "text").mapInArrow(run, schema)
 
 
-@F.pandas_udf(T.BooleanType())
-def _alike(left: pd.Series, right: pd.Series) -> pd.Series:
-    a = np.frombuffer(b"".join(left), np.uint8).reshape(-1, HASHES)
-    b = np.frombuffer(b"".join(right), np.uint8).reshape(-1, HASHES)
-    return pd.Series((a == b).sum(1) >= LEAST_EQUAL)
+@F.arrow_udf(T.BooleanType())
+def _alike(left: pa.Array, right: pa.Array) -> pa.Array:
+    a = np.frombuffer(b"".join(left.to_pylist()), np.uint8).reshape(-1, HASHES)
+    b = np.frombuffer(b"".join(right.to_pylist()), np.uint8).reshape(-1, HASHES)
+    return pa.array((a == b).sum(1) >= LEAST_EQUAL)
 
 
 def _shingle_set(text: str) -> set[bytes]:
@@ -149,7 +148,7 @@ def _shingle_set(text: str) -> set[bytes]:
 
 def _confirmed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     last_text, last_set = None, set()
-    for batch in batches:
+    for batch in small_batches(batches):
         good = []
         for a, b in zip(batch["text_a"], batch["text_b"]):
             if (a := a.as_py()) != last_text:
@@ -314,6 +313,7 @@ def _by_block(
             last = key
     if parts:
         yield body(pa.concat_tables(parts))
+    give_back_memory()
 
 
 def _likely_rest(members: DataFrame, components_: DataFrame, nodes: DataFrame, scratch: Scratch) -> DataFrame:

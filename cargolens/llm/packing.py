@@ -27,7 +27,6 @@ from collections import defaultdict
 from collections.abc import Iterator, Mapping
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
@@ -256,20 +255,20 @@ def pack(parts: DataFrame, order: list[str], capacity: int = CAPACITY) -> DataFr
     places = _placements(plan({r["length"]: r["count"] for r in counts}, capacity))
     low = int(places["length"].min()) if len(places["length"]) else 0
 
-    @F.pandas_udf("struct<sequence_id: long, offset: long>")
-    def place(length: pd.Series, number: pd.Series) -> pd.DataFrame:
+    @F.arrow_udf("struct<sequence_id: long, offset: long>")
+    def place(length: pa.Array, number: pa.Array) -> pa.Array:
+        length, number = (np.asarray(x, np.int64) for x in (length, number))
         # Both keys in one: lengths are whole steps, numbers a place below one step.
         step = np.int64(1) << 48
         keys = (places["length"] - low) * step + places["number"]
-        wanted = (length.to_numpy(np.int64) - low) * step + number.to_numpy(np.int64)
+        wanted = (length - low) * step + number
         at = np.searchsorted(keys, wanted, "right") - 1
-        nth = number.to_numpy(np.int64) - places["number"][at]
+        nth = number - places["number"][at]
         each = places["each"][at]
-        return pd.DataFrame(
-            {
-                "sequence_id": places["sequence"][at] + nth // each,
-                "offset": places["offset"][at] + nth % each * length.to_numpy(np.int64),
-            }
+        return pa.StructArray.from_arrays(
+            [pa.array(places["sequence"][at] + nth // each),
+             pa.array(places["offset"][at] + nth % each * length)],
+            ["sequence_id", "offset"],
         )
 
     placed = ranked.withColumn("number", place("length", "number"))

@@ -9,7 +9,8 @@ occurrences that lie side by side make runs, and runs of ``LEAST_RUN`` bytes or
 are cut out.  Shorter runs are phrases that many texts share by their nature.
 
 Counting is pre-aggregated per digest; texts go through one shuffle, to meet the few
-spans to be cut.
+spans to be cut.  A worker holds one Arrow batch and what it makes of a few hundred of its
+texts, and gives free memory back when its task ends.
 
 Cases: null text stays null and empty text empty; rows that agree in doc_id and text
 are one document (both rows get one result, and are no repeat of each other); a null
@@ -25,14 +26,18 @@ import hashlib
 from collections.abc import Iterator
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from cargolens.llm.common import Scratch, read, unused
+from cargolens.llm.common import Scratch, read, small_batches, unused
 
 LEAST, MOST = 24, 128  # bytes of a chunk; the last one of a text may be shorter
 LEAST_RUN = 100  # bytes
+_CUT = "struct<text: string, n_bytes: long, n_removed: long, spans: array<array<int>>>"
+_CUT_TYPES = {
+    "text": pa.string(), "n_bytes": pa.int64(), "n_removed": pa.int64(),
+    "spans": pa.list_(pa.list_(pa.int32())),
+}
 _GEAR = np.random.RandomState(7).randint(0, 1 << 16, 256).astype(np.uint16)
 _SPACE = np.zeros(256, bool)
 _SPACE[list(b" \t\n\v\f\r")] = True
@@ -73,34 +78,35 @@ def cuts(data: bytes) -> list[int]:
     return ends
 
 
-def chunks(docs: DataFrame) -> DataFrame:
-    """doc_id, content, and the starts, sizes and digests of each text's chunks."""
+def _chunked(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Rows of ``chunks`` from rows (doc_id, content, text)."""
+    for batch in small_batches(batches):
+        offsets, starts, sizes, digests = [0], [], [], []
+        for text in batch["text"]:
+            data = (text.as_py() or "").encode("utf-8", "surrogatepass")
+            at = 0
+            for end in cuts(data):
+                starts.append(at)
+                sizes.append(end - at)
+                digests.append(hashlib.blake2b(data[at:end], digest_size=16).digest())
+                at = end
+            offsets.append(len(starts))
+        offsets = pa.array(offsets, pa.int32())
+        lists = {
+            "starts": pa.array(starts, pa.int32()),
+            "sizes": pa.array(sizes, pa.int32()),
+            "digests": pa.array(digests, pa.binary()),
+        }
+        lists = {k: pa.ListArray.from_arrays(offsets, v) for k, v in lists.items()}
+        yield pa.record_batch({"doc_id": batch["doc_id"], "content": batch["content"]} | lists)
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            offsets, starts, sizes, digests = [0], [], [], []
-            for text in batch["text"]:
-                data = (text.as_py() or "").encode("utf-8", "surrogatepass")
-                at = 0
-                for end in cuts(data):
-                    starts.append(at)
-                    sizes.append(end - at)
-                    digests.append(hashlib.blake2b(data[at:end], digest_size=16).digest())
-                    at = end
-                offsets.append(len(starts))
-            offsets = pa.array(offsets, pa.int32())
-            lists = {
-                "starts": pa.array(starts, pa.int32()),
-                "sizes": pa.array(sizes, pa.int32()),
-                "digests": pa.array(digests, pa.binary()),
-            }
-            lists = {k: pa.ListArray.from_arrays(offsets, v) for k, v in lists.items()}
-            yield pa.record_batch({"doc_id": batch["doc_id"], "content": batch["content"]} | lists)
 
+def chunks(docs: DataFrame) -> DataFrame:
+    """doc_id, content, and the starts, sizes and digests of each text's chunks."""
     kind = docs.schema["doc_id"].dataType.simpleString()
     lists = "starts array<int>, sizes array<int>, digests array<binary>"
     keyed = docs.select("doc_id", F.xxhash64("text").alias("content"), "text")
-    return keyed.mapInArrow(run, f"doc_id {kind}, content long, {lists}")
+    return keyed.mapInArrow(_chunked, f"doc_id {kind}, content long, {lists}")
 
 
 def repeated_chunks(docs: DataFrame) -> DataFrame:
@@ -140,29 +146,36 @@ def _spans(found) -> list[tuple[int, int]]:
     return [(a, b) for a, b in spans if b - a >= LEAST_RUN]
 
 
+def _without_spans(texts: pa.Array, founds: pa.Array) -> pa.Array:
+    """Texts without the runs of the chunks found in them, as rows of ``_CUT``."""
+    rows = []
+    for text, found in zip(texts, founds):
+        if (text := text.as_py()) is None:
+            rows.append((None, 0, 0, []))
+            continue
+        data, kept, at = text.encode("utf-8", "surrogatepass"), [], 0
+        spans = _spans(found.as_py())
+        for start, end in spans:
+            kept.append(data[at:start])
+            at = end
+        kept.append(data[at:])
+        left = b"".join(kept)
+        rows.append((
+            left.decode("utf-8", "surrogatepass") if spans else text,
+            len(data), len(data) - len(left), spans,
+        ))
+    columns = zip(zip(*rows), _CUT_TYPES.values())
+    return pa.StructArray.from_arrays([pa.array(c, kind) for c, kind in columns], list(_CUT_TYPES))
+
+
 def remove_repeats(docs: DataFrame, into: str = "cut") -> DataFrame:
     """``docs`` with a struct column: kept text, n_bytes, n_removed, spans (start, end)."""
 
-    @F.pandas_udf("struct<text: string, n_bytes: long, n_removed: long, spans: array<array<int>>>")
-    def cut(batches: Iterator[tuple[pd.Series, pd.Series]]) -> Iterator[pd.DataFrame]:
-        for texts, founds in batches:
-            rows = []
-            for text, found in zip(texts, founds):
-                if text is None or pd.isna(text):
-                    rows.append((None, 0, 0, []))
-                    continue
-                data, kept, at = text.encode("utf-8", "surrogatepass"), [], 0
-                spans = _spans(found)
-                for start, end in spans:
-                    kept.append(data[at:start])
-                    at = end
-                kept.append(data[at:])
-                left = b"".join(kept)
-                rows.append((
-                    left.decode("utf-8", "surrogatepass") if spans else text,
-                    len(data), len(data) - len(left), [list(s) for s in spans],
-                ))
-            yield pd.DataFrame(rows, columns=["text", "n_bytes", "n_removed", "spans"])
+    @F.arrow_udf(_CUT)
+    def cut(batches: Iterator[tuple[pa.Array, pa.Array]]) -> Iterator[pa.Array]:
+        pairs = (pa.record_batch(list(pair), names=["text", "found"]) for pair in batches)
+        for batch in small_batches(pairs):
+            yield _without_spans(batch["text"], batch["found"])
 
     key, content, found = unused(docs, "key", "content", "found")
     spans = repeated_chunks(docs).toDF(key, content, found)

@@ -1,9 +1,16 @@
 import random
+import subprocess
+import sys
+import tracemalloc
 from collections import Counter
 
+import pyarrow as pa
 import pytest
 
-from cargolens.llm.substrings import LEAST, LEAST_RUN, MOST, cuts, op9_substring_dedup, remove_repeats
+from cargolens.llm.common import small_batches
+from cargolens.llm.substrings import (
+    LEAST, LEAST_RUN, MOST, _chunked, _without_spans, cuts, op9_substring_dedup, remove_repeats,
+)
 from tests.llm.frames import CLASHING, clashing, corpus, documents, edges, folder, prose, words
 
 
@@ -81,3 +88,46 @@ def test_other_columns_pass_through(spark):
     out = remove_repeats(docs, "result")
     assert out.columns == [*docs.columns, "result"]
     assert {r["key"] for r in out.collect()} == {"key"} and set(CLASHING) <= set(out.columns)
+
+
+def test_small_batches_hold_the_same_rows():
+    batches = [pa.record_batch({"n": pa.array(range(a, b), pa.int64())}) for a, b in ((0, 7), (7, 7), (7, 10), (10, 11))]
+    found = list(small_batches(iter(batches), rows=3))
+    assert [b.num_rows for b in found] == [3, 3, 1, 3, 1]
+    assert pa.Table.from_batches(found) == pa.Table.from_batches(batches).combine_chunks()
+
+
+def test_a_batch_is_not_chunked_as_a_whole():
+    rng = random.Random(12)
+    some = [prose(rng, n=300) for _ in range(50)] + [None, ""]
+    texts = [some[i % 52] for i in range(5200)]
+    batch = pa.record_batch({
+        "doc_id": pa.array(range(len(texts)), pa.int64()), "content": pa.array([0] * len(texts), pa.int64()),
+        "text": pa.array(texts, pa.string()),
+    })
+    tracemalloc.start()
+    sizes = []
+    for part in _chunked(iter([batch])):
+        sizes += [sum(x) for x in part["sizes"].to_pylist()]
+    _, most = tracemalloc.get_traced_memory()
+    tracemalloc.stop()
+    assert sizes == [len((t or "").encode()) for t in texts]
+    # A chunk costs some hundred bytes as Python objects, of which a few hundred texts stand at a time.
+    assert batch.nbytes > 8_000_000 and most < batch.nbytes // 4
+
+
+def test_spans_are_cut_from_nulls_and_others():
+    texts = pa.array([None, "", "é" * 60 + "tail", "whole"], pa.string())
+    found = pa.array([None, None, [{"at": 0, "size": 60}, {"at": 60, "size": 60}], [{"at": 0, "size": 5}]])
+    assert _without_spans(texts, found).to_pylist() == [
+        {"text": None, "n_bytes": 0, "n_removed": 0, "spans": []},
+        {"text": "", "n_bytes": 0, "n_removed": 0, "spans": []},
+        {"text": "tail", "n_bytes": 124, "n_removed": 120, "spans": [[0, 120]]},
+        {"text": "whole", "n_bytes": 5, "n_removed": 0, "spans": []},
+    ]
+
+
+@pytest.mark.parametrize("module", ["substrings", "near_duplicates", "packing"])
+def test_workers_of_the_pipeline_need_no_pandas(module):
+    code = f"import sys, cargolens.llm.{module}; print('pandas' in sys.modules)"
+    assert subprocess.run([sys.executable, "-c", code], capture_output=True, text=True, check=True).stdout == "False\n"
