@@ -11,6 +11,7 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession, Window, functions as F
 
 from cargolens.schemas import BRONZE
+from cargolens.sources.layers import wide_rows
 
 # Unquoted empty fields are NULL, quoted empty fields are empty text.  A NULL
 # marker that cannot occur keeps the reader from folding the two together.
@@ -32,11 +33,14 @@ def _native(encoding: str) -> tuple[str, bool]:
 
 
 def _exchanged(df: DataFrame, this: str, that: str) -> DataFrame:
-    """Every column with the characters of ``this`` as those of ``that``."""
+    """Every column with the characters of ``this``, none of them ASCII, as those of ``that``."""
     affected = f"[{this}]"
+    # Most text is ASCII, a byte to a character, and need not be searched.
     return df.select(
         *[
-            F.when(F.col(c).rlike(affected), F.translate(c, this, that)).otherwise(F.col(c)).alias(c)
+            F.when(
+                (F.octet_length(c) > F.char_length(c)) & F.col(c).rlike(affected), F.translate(c, this, that)
+            ).otherwise(F.col(c)).alias(c)
             for c in df.columns
         ]
     )
@@ -189,16 +193,21 @@ def records(spark: SparkSession, path: str | list[str], encoding: str) -> DataFr
     return found.select(text.alias("record")).where(F.trim("record") != "")
 
 
+def _written_as_latin_1(rows: DataFrame) -> DataFrame:
+    """Every column so that its bytes in ISO-8859-1 are those of Windows-1252."""
+    known = [(w, c) for w, c in zip(_AS_WINDOWS, _AS_LATIN_1) if w != "\ufffd"]
+    # A character that only ISO-8859-1 has reads back as another one, so it is lost here.
+    lost = "?" * len(_AS_LATIN_1)
+    return _exchanged(rows, _AS_LATIN_1 + "".join(w for w, _ in known), lost + "".join(c for _, c in known))
+
+
 def write_export(df: DataFrame, path: str, encoding: str = "windows-1252") -> None:
     """The same dialect, for handing raw rows on."""
     encoding, exchange = _native(encoding)
     rows = df.select(*BRONZE.names)
     if exchange:
-        known = [(w, c) for w, c in zip(_AS_WINDOWS, _AS_LATIN_1) if w != "\ufffd"]
-        # A character that only ISO-8859-1 has reads back as another one, so it is lost here.
-        rows = _exchanged(rows, _AS_LATIN_1, "?" * len(_AS_LATIN_1))
-        rows = _exchanged(rows, "".join(w for w, _ in known), "".join(c for _, c in known))
-    (
+        rows = _written_as_latin_1(rows)
+    writer = (
         rows.write.option("header", True)
         .option("encoding", encoding)
         .option("escape", '"')
@@ -206,5 +215,6 @@ def write_export(df: DataFrame, path: str, encoding: str = "windows-1252") -> No
         .option("emptyValue", '""')
         .option("ignoreLeadingWhiteSpace", False)
         .option("ignoreTrailingWhiteSpace", False)
-        .csv(path)
     )
+    with wide_rows(df.sparkSession):
+        writer.csv(path)

@@ -1,11 +1,13 @@
 from __future__ import annotations
 
 import random
+from contextlib import contextmanager
 
 import pytest
 
 from cargolens.schemas import BRONZE_COLUMNS
 from cargolens.sources.csv_export import read_export, write_export
+from cargolens.sources.layers import wide_rows
 from tests.samples import raw, raw_frame
 
 
@@ -82,6 +84,33 @@ def test_round_trip(spark, tmp_path):
     assert sorted(map(repr, read_export(spark, path).collect())) == sorted(map(repr, rows.collect()))
 
 
+def test_ascii_text_is_exchanged_in_one_pass_without_a_search(spark):
+    from cargolens.sources import csv_export
+
+    rows = spark.createDataFrame([("plain",), ("\u20ac \x80 \xe9 \x81 ?",), (None,)], "a string")
+    exchanged = csv_export._written_as_latin_1(rows)
+    assert [r["a"] for r in exchanged.collect()] == ["plain", "\x80 ? \xe9 ? ?", None]
+    plan = exchanged._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("RLIKE") <= 1 and "char_length" in plan
+
+
+def test_an_export_is_written_as_wide_rows(spark, tmp_path, monkeypatch):
+    from cargolens.sources import csv_export
+
+    entered = []
+
+    @contextmanager
+    def seen(session):
+        with wide_rows(session):
+            entered.append(session.conf.get("spark.sql.codegen.hugeMethodLimit"))
+            yield
+
+    before = spark.conf.get("spark.sql.codegen.hugeMethodLimit")
+    monkeypatch.setattr(csv_export, "wide_rows", seen)
+    write_export(raw_frame(spark, raw()), str(tmp_path / "export"))
+    assert entered == ["8000"] and spark.conf.get("spark.sql.codegen.hugeMethodLimit") == before
+
+
 def _multiline_rows(rng, n):
     texts = ["plain", "", '""', '"a, b"', '"line\none"', '"three\n\nlines ""quoted""\n"', '"crlf\r\ninside"', "Café €", '"\n"', '" ,\n, "']
     return [fields(order_item_id=str(k), customer_street=rng.choice(texts), order_city=rng.choice(texts), market=rng.choice(texts)) for k in range(n)]
