@@ -15,6 +15,14 @@ def column(spark, values, kind, expression):
     return [r["y"] for r in rows.select("i", expression(F.col("x")).alias("y")).orderBy("i").collect()]
 
 
+def test_timestamps_are_searched_once(spark):
+    given = ["1/31/2018 22:56", " 01/31/2018 2:06 ", "", " ", None, "2018-01-31 22:56", "now", "12:30", "x 1/31/2018 22:56"]
+    read = spark.createDataFrame([(v,) for v in given], "x string").select(parsing.read_us_timestamp(F.col("x")).alias("y"))
+    first, second = dt.datetime(2018, 1, 31, 22, 56), dt.datetime(2018, 1, 31, 2, 6)
+    assert [r["y"] for r in read.collect()] == [first, second] + [None] * 7
+    assert "RLIKE" not in read._jdf.queryExecution().optimizedPlan().toString()
+
+
 def test_title_case_starts_words_after_any_other_character(spark):
     given = ["women's apparel", "indoor/outdoor GAMES", "éCOLE\tx", "3d 4TH_x", "a  b", "", None,
              "x y", "o'brien-smith", " lead"]

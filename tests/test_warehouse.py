@@ -20,6 +20,32 @@ def warehouse(spark, tmp_path, *rows):
     return house
 
 
+@pytest.fixture
+def whole_stages(spark):
+    name = "spark.sql.codegen.wholeStage"
+    before = spark.conf.get(name)
+    spark.conf.set(name, "true")
+    yield
+    spark.conf.set(name, before)
+
+
+def test_many_rules_are_not_compiled_into_one_method(spark, whole_stages):
+    rows = raw_frame(spark, raw(), raw(order_item_quantity="many"))
+
+    def compiled_as_one(df):
+        plan = df._jdf.queryExecution().executedPlan().toString().splitlines()
+        return any("*(" in line for line in plan if "CASE WHEN" in line)
+
+    few = cleaning.RULES[:2]
+    assert compiled_as_one(cleaning.clean(rows, few)) and not compiled_as_one(cleaning.clean(rows))
+    accepted, rest = cleaning.clean_or_quarantine(rows)
+    plan = rest._jdf.queryExecution().executedPlan().toString()
+    # Without generated code a filter of the array would interpret the rules.
+    assert "array_remove" in plan and "filter(" not in plan
+    assert accepted.count() == 1
+    assert [r["broken_columns"] for r in rest.collect()] == [["order_item_quantity"]]
+
+
 def test_cleaning_rules(spark):
     row = cleaning.clean(raw_frame(spark, raw())).first().asDict()
     assert len(row) == 47 and not set(S.EXCLUDED_COLUMNS) & set(row)
